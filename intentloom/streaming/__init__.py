@@ -1,0 +1,6 @@
+"""No streaming operators: every job of this library is a batch job over tables.
+
+The package is kept so that the layout stays stable; appends are in
+``intentloom.sources.sinks`` and incremental work is
+``intentloom.plans.refresh.refresh_selected``.
+"""
