@@ -11,10 +11,11 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 _MARKS = re.compile(r'\\.|["{}\[\]]', re.DOTALL)
 _CLOSER = {"{": "}", "[": "]"}
+_RESOLVED = T.StructType().add("answer", T.StringType()).add("resolution", T.StringType())
 
 
 def _brackets(text: str, start: int = 0) -> Iterator[tuple[str, int]]:
@@ -104,16 +105,16 @@ def resolve_many(parts: pd.Series, text: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(found, columns=["answer", "resolution"])
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def extract_json(text: pd.Series) -> pd.Series:
     return text.map(first_object)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def autoclose_json(text: pd.Series) -> pd.Series:
     return text.map(close_object)
 
 
-@F.pandas_udf("struct<answer:string,resolution:string>")
+@F.pandas_udf(_RESOLVED)
 def resolve_answer(parts: pd.Series, text: pd.Series) -> pd.DataFrame:
     return resolve_many(parts, text)

@@ -133,15 +133,15 @@ def _scorer(k: int, dim: int):
     )
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        queries = left.filter(pc.is_valid(left["vector"])).sort_by("owner")
-        hidden = left.filter(pc.is_null(left["vector"]))
+        queries = left.filter(pc.is_valid(left["query"])).sort_by("owner")
+        hidden = left.filter(pc.is_null(left["query"]))
         items = right.sort_by("item_id")
         if queries.num_rows == 0 or items.num_rows == 0:
             return schema.empty_table()
         coded = queries["owner"].combine_chunks().dictionary_encode()
         owners, rows_of = coded.dictionary, coded.indices.to_numpy()
         item_ids = items["item_id"].combine_chunks()
-        q, x = _matrix(queries["vector"], dim), _matrix(items["vector"], dim)
+        q, x = _matrix(queries["query"], dim), _matrix(items["vector"], dim)
         weight = queries["weight"].to_numpy()[:, None]
         first = np.flatnonzero(np.diff(rows_of, prepend=-1))  # each owner's first query
         ends = np.append(first[1:], len(rows_of))
@@ -211,7 +211,8 @@ def _candidates(
 
     placed = queries.withColumn("qb", block(nq, "owner", "slot"))
     left = placed.select(
-        "owner", F.lit(None).cast("string").alias("item_id"), "vector", "weight", "qb",
+        "owner", F.lit(None).cast("string").alias("item_id"), F.col("vector").alias("query"), "weight",
+        "qb",
         F.explode(F.sequence(F.lit(0), F.lit(nx - 1))).alias("xb"),
     )
     if exclude is not None:
@@ -219,7 +220,7 @@ def _candidates(
         where = placed.select("owner", "qb").distinct()
         hidden = exclude.join(where, "owner").select(
             "owner", "item_id",
-            F.lit(None).cast("array<float>").alias("vector"),
+            F.lit(None).cast(queries.schema["vector"].dataType).alias("query"),
             F.lit(None).cast("double").alias("weight"),
             "qb", block(nx, "item_id").alias("xb"),
         )
@@ -300,7 +301,7 @@ def _fused(slots: DataFrame, dim: int) -> DataFrame:
         for i in range(dim)
     ]
     summed = slots.groupBy("owner").agg(*parts)
-    vector = F.array(*[F.col(f"v{i}").cast("float") for i in range(dim)])
+    vector = F.array(*[F.col(f"v{i}") for i in range(dim)])  # doubles, not rounded again
     return summed.select(
         "owner", F.lit(1).alias("slot"), vector.alias("vector"), F.lit(1.0).alias("weight")
     )

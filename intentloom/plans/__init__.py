@@ -5,7 +5,8 @@ from __future__ import annotations
 from importlib import import_module
 
 _MODULES = (
-    "queries_scan", "queries_history",
+    "queries_scan", "queries_history", "queries_context",
+    "queries_answers", "queries_vectors", "queries_bundle",
 
 )
 
