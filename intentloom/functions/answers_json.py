@@ -11,6 +11,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F, types as T
 
 _MARKS = re.compile(r'\\.|["{}\[\]]', re.DOTALL)
@@ -74,7 +75,7 @@ def _loads(text: str | None) -> object:
         return None
 
 
-def _resolve(parts: list[str], text: str | None) -> tuple[str | None, str]:
+def resolve(parts: list[str], text: str | None) -> tuple[str | None, str]:
     """(object text, how it was found) in the order parts, then whole text."""
     for part in parts:
         raw = (part or "").strip()
@@ -98,13 +99,6 @@ def _resolve(parts: list[str], text: str | None) -> tuple[str | None, str]:
     return None, "failed"
 
 
-def resolve_many(parts: pd.Series, text: pd.Series) -> pd.DataFrame:
-    found = [
-        _resolve([] if p is None else list(p), t) for p, t in zip(parts, text, strict=True)
-    ]
-    return pd.DataFrame(found, columns=["answer", "resolution"])
-
-
 @F.pandas_udf(T.StringType())
 def extract_json(text: pd.Series) -> pd.Series:
     return text.map(first_object)
@@ -115,6 +109,10 @@ def autoclose_json(text: pd.Series) -> pd.Series:
     return text.map(close_object)
 
 
-@F.pandas_udf(_RESOLVED)
-def resolve_answer(parts: pd.Series, text: pd.Series) -> pd.DataFrame:
-    return resolve_many(parts, text)
+@F.arrow_udf(_RESOLVED)
+def resolve_answer(parts: pa.Array, text: pa.Array) -> pa.Array:
+    found = [resolve(p or [], t) for p, t in zip(parts.to_pylist(), text.to_pylist(), strict=True)]
+    answers, how = zip(*found, strict=True) if found else ((), ())
+    return pa.StructArray.from_arrays(
+        [pa.array(answers, pa.string()), pa.array(how, pa.string())], ["answer", "resolution"]
+    )

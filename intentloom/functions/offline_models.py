@@ -67,27 +67,35 @@ def template_generator():
 _TOKEN = re.compile(r"[^ \t\r\n]+")
 
 
+class _Places(dict):
+    """Token to signed bucket (bucket + 1, negative for a minus), worked out once."""
+
+    def __init__(self, dim: int) -> None:
+        self.dim = dim
+
+    def __missing__(self, token: str) -> int:
+        digest = hashlib.md5(token.encode()).hexdigest()
+        place = int(digest[:8], 16) % self.dim + 1
+        self[token] = place if digest[8] < "8" else -place
+        return self[token]
+
+
 def hashing_embedder(dim: int = 768):
-    """Factory factory: texts to signed token-count vectors of ``dim`` values.
+    """Factory maker: texts to signed token-count vectors of ``dim`` values.
 
     A token's bucket comes from the first eight hex digits of its MD5 and its
     sign from the ninth.
     """
 
     def build():
-        def embed(texts: pd.Series) -> list[np.ndarray]:
-            places: dict[str, tuple[int, float]] = {}
-            out = []
-            for text in texts:
-                vector = np.zeros(dim, dtype=np.float32)
-                for token in _TOKEN.findall(text.lower()):
-                    if token not in places:
-                        digest = hashlib.md5(token.encode()).hexdigest()
-                        sign = 1.0 if int(digest[8], 16) < 8 else -1.0
-                        places[token] = (int(digest[:8], 16) % dim, sign)
-                    index, sign = places[token]
-                    vector[index] += sign
-                out.append(vector)
+        def embed(texts: pd.Series) -> np.ndarray:
+            places = _Places(dim)  # per batch, so that it stays small
+            out = np.zeros((len(texts), dim), dtype=np.float32)
+            for row, text in enumerate(texts):
+                found = [places[token] for token in _TOKEN.findall(text.lower())]
+                if found:
+                    signed = np.array(found)
+                    out[row] = np.bincount(np.abs(signed) - 1, np.sign(signed), dim)
             return out
 
         return embed

@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from intentloom.params import DEFAULT_LANGUAGE, LANGUAGES
 
-# Every character Python's str.strip() removes, in a form Java and RE2 share.
-BLANK = r"[\s\p{Z}\x0b\x1c-\x1f\x85]"
+# The characters that count as blank at the ends of a text.
+BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+
+def rows_of(spark: SparkSession, rows: list[tuple], *names: str) -> DataFrame:
+    """A small fixed table made of literals, without a Python worker or a file."""
+    structs = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row, strict=True)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
 
 
 def col(c: Column | str) -> Column:
@@ -15,11 +24,11 @@ def col(c: Column | str) -> Column:
 
 
 def strip(c: Column | str) -> Column:
-    return F.regexp_replace(col(c), f"^{BLANK}+|{BLANK}+$", "")
+    return F.btrim(col(c), F.lit(BLANKS))
 
 
 def rstrip(c: Column | str) -> Column:
-    return F.regexp_replace(col(c), f"{BLANK}+$", "")
+    return F.rtrim(col(c), F.lit(BLANKS))
 
 
 def or_default(c: Column | str, default: str) -> Column:
@@ -34,7 +43,8 @@ def normalize_language(c: Column | str) -> Column:
 
 def clean_text(c: Column | str) -> Column:
     """Line breaks to spaces, trimmed, runs of spaces collapsed (tabs stay)."""
-    one_line = F.translate(F.coalesce(col(c), F.lit("")), "\r\n", "  ")
+    text = F.coalesce(col(c), F.lit(""))
+    one_line = F.replace(F.replace(text, F.lit("\n"), F.lit(" ")), F.lit("\r"), F.lit(" "))
     return F.regexp_replace(strip(one_line), " {2,}", " ")
 
 
@@ -135,4 +145,4 @@ def safe_int(c: Column | str) -> Column:
 
 def word_count(c: Column | str) -> Column:
     text = strip(F.coalesce(col(c), F.lit("")))
-    return F.when(text == "", F.lit(0)).otherwise(F.size(F.split(text, f"{BLANK}+")))
+    return F.when(text == "", F.lit(0)).otherwise(F.size(F.split(text, f"[{BLANKS}]+")))

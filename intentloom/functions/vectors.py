@@ -38,14 +38,13 @@ def normalize(v: Column | str) -> Column:
     The length is bound to a one-element outer array, so that it is worked out
     once per row; written inside the inner lambda it would run once per value.
     """
-    length = norm(v)
-    divisor = F.when(length == 0, F.lit(1.0)).otherwise(length)
-    bound = F.array(F.struct(col(v).alias("v"), divisor.alias("n")))
-    scaled = F.transform(
-        bound,
-        lambda s: F.transform(s["v"], lambda x: (x.cast("double") / s["n"]).cast("float")),
-    )
-    return F.get(scaled, F.lit(0))
+
+    def scaled(s: Column) -> Column:
+        divisor = F.when(s["n"] == 0, F.lit(1.0)).otherwise(s["n"])
+        return F.transform(s["v"], lambda x: (x.cast("double") / divisor).cast("float"))
+
+    bound = F.array(F.struct(col(v).alias("v"), norm(v).alias("n")))
+    return F.get(F.transform(bound, scaled), F.lit(0))
 
 
 def dot(a: Column | str, b: Column | str) -> Column:

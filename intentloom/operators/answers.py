@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from intentloom.functions.answers_json import resolve_answer
-from intentloom.functions.text import clean_text, col, normalize_language, strip, word_count
+from intentloom.functions.text import clean_text, col, normalize_language, rows_of, strip, word_count
 from intentloom.params import CHARS_TH, LANGUAGES, SLOT_PLANS, SLOTS, WORDS_EN
 
 
@@ -34,48 +34,57 @@ def resolve_answers(
     return out.withColumn("answer", answer).withColumn("resolution", how).drop("_found")
 
 
-_QUERY = "query_id string, query_text string, weight double, intent_label string"
+_QUERIES = "array<struct<query_id:string,query_text:string,weight:double,intent_label:string>>"
+_EMPTY = ("", "0", "false", "null", "{}", "[]")
 
 
-def parsed_queries(answer: Column | str, field: str) -> tuple[Column, Column]:
-    """(queries, error) of an object text.
+def parse_queries(df: DataFrame, field: str, answer: str = "answer") -> DataFrame:
+    """Add ``queries`` and ``query_error`` from an object text.
 
     A missing or empty list is no error and gives an empty array; a field that is
-    no list, or an entry that is no object, is one.
+    no list, or an entry that is no object, is one. The list is cut out, typed and
+    checked in columns of their own, so each of these runs once per row.
     """
-    raw = F.get_json_object(col(answer), f"$.{field}")
-    empty = raw.isNull() | raw.isin("", "0", "false", "null", "{}", "[]")
-    entries = F.from_json(raw, "array<string>")
-    is_list = raw.startswith("[")
-    all_objects = F.forall(entries, lambda e: F.coalesce(e.startswith("{"), F.lit(False)))
-
-    def entry(e: Column) -> Column:
-        q = F.from_json(e, _QUERY)
+    listed = df.withColumn("_list", F.get_json_object(answer, f"$.{field}"))
+    typed = listed.withColumns(
+        {
+            "_kind": F.schema_of_variant(F.try_parse_json("_list")),
+            "_typed": F.from_json("_list", _QUERIES),
+        }
+    )
+    empty = F.col("_list").isNull() | F.col("_list").isin(*_EMPTY)
+    kind = F.coalesce("_kind", F.lit(""))
+    error = (
+        F.when(F.col(answer).isNull(), "no JSON object")
+        .when(empty, F.lit(None))
+        .when(~kind.startswith("ARRAY<"), f"{field} must be a list")
+        .when(~kind.startswith("ARRAY<OBJECT<"), f"{field} entries must be objects")
+    )
+    good = ~empty & kind.startswith("ARRAY<OBJECT<")
+
+    def entry(q: Column) -> Column:
+        text = strip(F.coalesce(q["query_text"], F.lit("")))
         return F.struct(
             q["query_id"].alias("query_id"),
-            strip(F.coalesce(q["query_text"], F.lit(""))).alias("query_text"),
+            text.alias("query_text"),
             q["weight"].alias("weight"),
             q["intent_label"].alias("intent_label"),
         )
 
-    error = (
-        F.when(col(answer).isNull(), "no JSON object")
-        .when(empty, F.lit(None))
-        .when(~is_list, f"{field} must be a list")
-        .when(~F.coalesce(all_objects, F.lit(False)), f"{field} entries must be objects")
+    queries = F.when(good, F.transform("_typed", entry)).otherwise(F.array().cast(_QUERIES))
+    return typed.withColumns({"queries": queries, "query_error": error}).drop(
+        "_list", "_kind", "_typed"
     )
-    none = F.array().cast(f"array<struct<{_QUERY.replace(' ', ':').replace(',:', ',')}>>")
-    queries = F.when(error.isNull() & ~empty, F.transform(entries, entry)).otherwise(none)
-    return queries, error
 
 
 def explode_queries(answers: DataFrame, field: str) -> DataFrame:
     """One row per query in answer order; users without one keep a row of nulls."""
-    queries, error = parsed_queries("answer", field)
     return (
-        answers.select("user_id", queries.alias("_q"), error.alias("error"))
-        .select("user_id", "error", F.posexplode_outer("_q").alias("position", "q"))
-        .select("user_id", (F.col("position") + 1).alias("slot"), "q.*", "error")
+        parse_queries(answers, field)
+        .select("user_id", "query_error", F.posexplode_outer("queries").alias("position", "q"))
+        .select(
+            "user_id", (F.col("position") + 1).alias("slot"), "q.*", F.col("query_error").alias("error")
+        )
     )
 
 
@@ -132,9 +141,7 @@ def check_distinct(queries: DataFrame) -> DataFrame:
 
 def slot_plan_table(spark: SparkSession) -> DataFrame:
     rows = [(t, *slot) for t, plan in SLOT_PLANS.items() for slot in plan]
-    return spark.createDataFrame(
-        rows, "template string, query_id string, plan_label string, plan_weight double"
-    )
+    return rows_of(spark, rows, "template", "query_id", "plan_label", "plan_weight")
 
 
 def check_slot_plan(queries: DataFrame, plan: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from intentloom.functions.text import (
     parse_list_column,
     parse_roles,
     parse_skills,
+    rows_of,
     strip,
 )
 from intentloom.operators.events import event_counts, recent_titles
@@ -135,7 +136,7 @@ def route_3way(n_events: Column | str, threshold: int) -> Column:
 
 
 def template_table(spark: SparkSession, templates: Mapping[str, str] = TEMPLATES) -> DataFrame:
-    return spark.createDataFrame(sorted(templates.items()), "template string, body string")
+    return rows_of(spark, sorted(templates.items()), "template", "body")
 
 
 def render(body: Column, language: Column, context: Column, history: Column) -> Column:

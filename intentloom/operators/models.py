@@ -19,19 +19,34 @@ from typing import Any
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
-from intentloom.functions.answers_json import resolve_many
+from intentloom.functions.answers_json import resolve
 from intentloom.functions.text import col, strip
 from intentloom.functions.vectors import cut, has_dim, normalize
 from intentloom.params import JobParams
 
 Factory = Callable[[], Callable[[pd.Series], Any]]
 
-_CALLS = (
-    "struct<raw:string,error:string,"
-    "calls:array<struct<attempt:int,input_tokens:bigint,output_tokens:bigint,latency_s:double>>>"
+_CALL = (
+    T.StructType()
+    .add("attempt", T.IntegerType())
+    .add("input_tokens", T.LongType())
+    .add("output_tokens", T.LongType())
+    .add("latency_s", T.DoubleType())
 )
+_GENERATED = (
+    T.StructType()
+    .add("raw", T.StringType())
+    .add("error", T.StringType())
+    .add("calls", T.ArrayType(_CALL))
+)
+_ARROW_GENERATED = to_arrow_type(_GENERATED)
+_VECTOR = T.ArrayType(T.FloatType())
+_EMBEDDED = T.StructType().add("vectors", T.ArrayType(_VECTOR)).add("error", T.StringType())
 
 
 def _int(value: object) -> int | None:
@@ -45,47 +60,38 @@ def generate(prompt: Column | str, factory: Factory, retry_limit: int) -> Column
     """Call the generator; rows whose answer holds no JSON object are asked again,
     up to ``retry_limit`` more times. Every attempt is listed in ``calls``."""
 
-    @F.pandas_udf(_CALLS)
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(_GENERATED)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         call = factory()
-        for prompts in batches:
-            n = len(prompts)
-            raw: list[str | None] = [None] * n
-            error: list[str | None] = [None] * n
-            calls: list[list[dict]] = [[] for _ in range(n)]
-            todo = [i for i in range(n) if prompts.iloc[i] is not None]
+        for batch in batches:
+            prompts = batch.to_pylist()
+            rows: list[dict] = [{"raw": None, "error": None, "calls": []} for _ in prompts]
+            todo = [i for i, p in enumerate(prompts) if p is not None]
             for attempt in range(1, retry_limit + 2):
                 if not todo:
                     break
                 started = time.perf_counter()
                 try:
-                    reply = call(prompts.iloc[todo].reset_index(drop=True))
+                    reply = call(pd.Series([prompts[i] for i in todo], dtype=object))
                 except Exception as failure:  # noqa: BLE001 - one batch, not the job
                     for i in todo:
-                        error[i] = f"{type(failure).__name__}: {failure}"
+                        rows[i]["error"] = f"{type(failure).__name__}: {failure}"
                     break
                 share = (time.perf_counter() - started) / len(todo)
                 if not isinstance(reply, pd.DataFrame):
                     reply = pd.DataFrame({"text": reply})
-                texts = reply["text"].reset_index(drop=True)
-                rows = reply.to_dict("records")
-                answers = resolve_many(texts.map(lambda t: [t]), texts)["answer"]
-                again = []
-                for place, i in enumerate(todo):
-                    raw[i] = texts.iloc[place]
-                    row = rows[place]
-                    calls[i].append(
+                for i, told in zip(todo, reply.to_dict("records"), strict=True):
+                    rows[i]["raw"] = told["text"]
+                    rows[i]["calls"].append(
                         {
                             "attempt": attempt,
-                            "input_tokens": _int(row.get("input_tokens")),
-                            "output_tokens": _int(row.get("output_tokens")),
-                            "latency_s": float(row.get("latency_s", share)),
+                            "input_tokens": _int(told.get("input_tokens")),
+                            "output_tokens": _int(told.get("output_tokens")),
+                            "latency_s": float(told.get("latency_s", share)),
                         }
                     )
-                    if answers.iloc[place] is None:
-                        again.append(i)
-                todo = again
-            yield pd.DataFrame({"raw": raw, "error": error, "calls": calls})
+                todo = [i for i in todo if resolve([rows[i]["raw"]], rows[i]["raw"])[0] is None]
+            yield pa.array(rows, _ARROW_GENERATED)
 
     return run.asNondeterministic()(col(prompt))
 
@@ -104,18 +110,29 @@ def generate_answers(prompts: DataFrame, factory: Factory, params: JobParams) ->
     )
 
 
-def _as_rows(vectors: Any) -> list:
-    return [None if v is None else np.asarray(v, dtype=np.float32) for v in vectors]
+def _lists(values: pa.Array, sizes: np.ndarray) -> pa.Array:
+    """Consecutive values cut into lists of the given sizes."""
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), values)
+
+
+def _vectors(call: Callable[[pd.Series], Any], texts: list[str]) -> pa.Array:
+    """Vectors of a batch as one Arrow list array over a flat float buffer."""
+    made = [np.asarray(v, dtype=np.float32) for v in call(pd.Series(texts, dtype=object))] if texts else []
+    if len(made) != len(texts):
+        raise ValueError(f"{len(made)} vectors for {len(texts)} texts")
+    flat = np.concatenate(made) if made else np.zeros(0, np.float32)
+    return _lists(pa.array(flat, pa.float32()), np.array([len(v) for v in made], dtype=np.int64))
 
 
 def embed(text: Column | str, factory: Factory) -> Column:
     """Raw vector of each text; a blank text is embedded as one space."""
 
-    @F.pandas_udf("array<float>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(_VECTOR)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         call = factory()
         for texts in batches:
-            yield pd.Series(_as_rows(call(texts)), dtype=object)
+            yield _vectors(call, texts.to_pylist())
 
     stripped = strip(F.coalesce(col(text), F.lit("")))
     return run.asNondeterministic()(F.when(stripped == "", " ").otherwise(stripped))
@@ -128,25 +145,19 @@ def embed_lists(texts: Column, factory: Factory) -> Column:
     call that raises fails its batch's rows, not the job.
     """
 
-    @F.pandas_udf("struct<vectors:array<array<float>>,error:string>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(_EMBEDDED)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         call = factory()
         for lists in batches:
-            sizes = [0 if t is None else len(t) for t in lists]
-            flat = [t for some in lists if some is not None for t in some]
-            ends = np.cumsum(sizes)
+            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
             error = None
             try:
-                vectors = _as_rows(call(pd.Series(flat, dtype=object))) if flat else []
-                if len(vectors) != len(flat):
-                    raise ValueError(f"{len(vectors)} vectors for {len(flat)} texts")
-                cut_up = [
-                    vectors[end - size : end] for size, end in zip(sizes, ends, strict=True)
-                ]
+                vectors = _lists(_vectors(call, lists.flatten().to_pylist()), sizes)
             except Exception as failure:  # noqa: BLE001 - one batch, not the job
                 error = f"{type(failure).__name__}: {failure}"
-                cut_up = [None] * len(sizes)
-            yield pd.DataFrame({"vectors": cut_up, "error": [error] * len(sizes)})
+                vectors = pa.nulls(len(lists), pa.list_(pa.list_(pa.float32())))
+            errors = pa.array([error] * len(lists), pa.string())
+            yield pa.StructArray.from_arrays([vectors, errors], ["vectors", "error"])
 
     blank_safe = F.transform(
         texts, lambda t: F.coalesce(F.nullif(strip(F.coalesce(t, F.lit(""))), F.lit("")), F.lit(" "))

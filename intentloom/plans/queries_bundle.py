@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 from intentloom.functions.vectors import normalize
-from intentloom.operators import answers as A, bundle as B, context as C, events as E, ledger as L
+from intentloom.operators import bundle as B, context as C, events as E, ledger as L
 from intentloom.params import SLOW_CALL_S_BATCH, JobParams
 from intentloom.plans.queries_history import COUNTS, LAST20
 from intentloom.plans.registry import query
@@ -63,18 +63,17 @@ _N_QUERIES = "3 + c_custkey % 4"
 
 
 def _bundles(spark: SparkSession, sf: str) -> DataFrame:
-    customer = V.table(spark, sf, "customer")
-    answer = F.expr(
-        "to_json(named_struct('queries', transform(sequence(1, cast(" + _N_QUERIES + " as int)), "
-        "i -> named_struct('query_id', concat('Q', i), 'query_text', concat(c_mktsegment, ' ', i), "
-        "'weight', 1.0, 'intent_label', 'profile_based'))))"
+    queries = F.expr(
+        "transform(sequence(1, cast(" + _N_QUERIES + " as int)), i -> named_struct("
+        "'query_id', concat('Q', i), 'query_text', concat(c_mktsegment, ' ', i), "
+        "'weight', cast(1 as double), 'intent_label', 'profile_based'))"
     )
-    queries, error = A.parsed_queries("answer", "queries")
-    parsed = customer.select(
+    parsed = V.table(spark, sf, "customer").select(
         F.col("c_custkey").cast("string").alias("user_id"),
         F.struct(F.col("c_name").alias("name"), F.col("c_nationkey").alias("nation")).alias("metadata"),
-        answer.alias("answer"),
-    ).select("user_id", "metadata", queries.alias("queries"), error.alias("error"))
+        queries.alias("queries"),
+        F.lit(None).cast("string").alias("error"),
+    )
     vectors = F.transform(
         "queries",
         lambda q, i: normalize(

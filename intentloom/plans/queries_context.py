@@ -258,12 +258,11 @@ _GENERATED = (
 def generate_answers(spark: SparkSession, sf: str) -> DataFrame:
     made = run_generator(_prompts(spark, sf), template_generator, PARAMS)
     found = A.resolve_answers(made, text="raw")
-    queries, _ = A.parsed_queries("answer", PARAMS.answer_field)
-    return found.select(
+    return A.parse_queries(found, PARAMS.answer_field).select(
         "user_id",
         F.get_json_object("answer", "$.output_language").alias("output_language"),
         F.size("calls").alias("attempts"),
-        F.inline(queries),
+        F.inline("queries"),
     )
 
 

@@ -10,7 +10,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from intentloom.operators.answers import parsed_queries, resolve_answers
+from intentloom.operators.answers import parse_queries, resolve_answers
 from intentloom.operators.bundle import build_bundle, bundle_metadata
 from intentloom.operators.context import render_prompts, user_features
 from intentloom.operators.ledger import embedding_cost_usd, ledger_union, llm_cost_usd
@@ -55,12 +55,11 @@ def refresh_all(
     )
     answered = generate_answers(kept, generator, params).drop("prompt")
     resolved = resolve_answers(answered, text="raw").drop("raw")
-    queries, query_error = parsed_queries("answer", params.answer_field)
-    parsed = resolved.select(
-        "*",
-        queries.alias("queries"),
-        F.coalesce("error", "call_error", query_error).alias("_error"),
-    ).drop("error", "call_error", "answer")
+    parsed = (
+        parse_queries(resolved, params.answer_field)
+        .withColumn("_error", F.coalesce("error", "call_error", "query_error"))
+        .drop("error", "call_error", "query_error", "answer")
+    )
 
     # A failed row sends no texts to the embedder.
     texts = F.when(F.col("_error").isNull(), F.transform("queries", lambda q: q["query_text"]))

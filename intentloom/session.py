@@ -16,6 +16,8 @@ def local_session(cpus: int | None = None, app: str = "intentloom") -> SparkSess
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.session.timeZone", "UTC")
+        # small local tables: keep all cores busy after a shuffle
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "16KB")
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
