@@ -11,6 +11,8 @@ import re
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 
 # What the offline generator writes before the profile line, per slot.
 LEADS = {
@@ -64,39 +66,32 @@ def template_generator():
     return lambda prompts: prompts.map(_answer)
 
 
-_TOKEN = re.compile(r"[^ \t\r\n]+")
-
-
-class _Places(dict):
-    """Token to signed bucket (bucket + 1, negative for a minus), worked out once."""
-
-    def __init__(self, dim: int) -> None:
-        self.dim = dim
-
-    def __missing__(self, token: str) -> int:
-        digest = hashlib.md5(token.encode()).hexdigest()
-        place = int(digest[:8], 16) % self.dim + 1
-        self[token] = place if digest[8] < "8" else -place
-        return self[token]
+def _place(token: str, dim: int) -> int:
+    """Signed bucket, counted from 1: from the first eight and the ninth hex digit of the MD5."""
+    digest = hashlib.md5(token.encode()).hexdigest()
+    place = int(digest[:8], 16) % dim + 1
+    return place if digest[8] < "8" else -place
 
 
 def hashing_embedder(dim: int = 768):
     """Factory maker: texts to signed token-count vectors of ``dim`` values.
 
-    A token's bucket comes from the first eight hex digits of its MD5 and its
-    sign from the ninth.
+    A batch is split and encoded by Arrow, so that Python sees each distinct
+    token once.
     """
 
     def build():
         def embed(texts: pd.Series) -> np.ndarray:
-            places = _Places(dim)  # per batch, so that it stays small
-            out = np.zeros((len(texts), dim), dtype=np.float32)
-            for row, text in enumerate(texts):
-                found = [places[token] for token in _TOKEN.findall(text.lower())]
-                if found:
-                    signed = np.array(found)
-                    out[row] = np.bincount(np.abs(signed) - 1, np.sign(signed), dim)
-            return out
+            lists = pc.split_pattern_regex(pc.utf8_lower(pa.array(texts, pa.string())), r"[ \t\r\n]+")
+            rows, tokens = pc.list_parent_indices(lists), lists.flatten()
+            filled = pc.greater(pc.binary_length(tokens), 0)
+            rows = rows.filter(filled).to_numpy(zero_copy_only=False)
+            coded = tokens.filter(filled).dictionary_encode()
+            places = np.array([_place(t, dim) for t in coded.dictionary.to_pylist()], dtype=np.int64)
+            signed = places[coded.indices.to_numpy()]
+            cells = rows.astype(np.int64) * dim + np.abs(signed) - 1
+            sums = np.bincount(cells, np.sign(signed), minlength=len(texts) * dim)
+            return sums.reshape(-1, dim).astype(np.float32)
 
         return embed
 

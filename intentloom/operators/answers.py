@@ -25,7 +25,8 @@ def resolve_answers(
     pieces = col(parts) if parts else F.array(whole)
     done = F.col(parsed).isNotNull() if parsed else F.lit(False)
     # rows that are parsed already send nulls to Python
-    found = resolve_answer(F.when(~done, pieces), F.when(~done, whole))
+    # kept out of filter push-down, which would run it a second time
+    found = resolve_answer.asNondeterministic()(F.when(~done, pieces), F.when(~done, whole))
     out = responses.withColumn("_found", found)
     answer, how = F.col("_found.answer"), F.col("_found.resolution")
     if parsed:
