@@ -114,14 +114,17 @@ def check_slots(queries: DataFrame) -> DataFrame:
 
 
 def check_length(queries: DataFrame) -> DataFrame:
-    words = word_count("query_text").cast("bigint")
-    chars = F.length(strip(F.coalesce("query_text", F.lit("")))).cast("bigint")
-    ok = F.when(F.col("language") == "en", words.between(*WORDS_EN)).otherwise(
-        chars.between(*CHARS_TH)
+    counted = queries.select(
+        "user_id",
+        "query_id",
+        "language",
+        word_count("query_text").cast("bigint").alias("n_words"),
+        F.length(strip(F.coalesce("query_text", F.lit("")))).cast("bigint").alias("n_chars"),
     )
-    return queries.select(
-        "user_id", "query_id", words.alias("n_words"), chars.alias("n_chars"), ok.alias("ok")
+    ok = F.when(F.col("language") == "en", F.col("n_words").between(*WORDS_EN)).otherwise(
+        F.col("n_chars").between(*CHARS_TH)
     )
+    return counted.withColumn("ok", ok).drop("language")
 
 
 def check_distinct(queries: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from intentloom.functions.text import or_default
-from intentloom.operators.events import event_records
+from intentloom.operators.events import counts_per_user, event_records, hot_keys
 from intentloom.params import FALLBACK_METADATA, SLOTS, JobParams
 
 EMBEDDING_NAMES = tuple(f"embedding{i:02d}" for i in range(1, SLOTS + 1))
@@ -16,20 +16,22 @@ QUERIES_NAME = "queries"
 
 
 def inline_events(events: DataFrame, limit: int) -> DataFrame:
-    """Records of each user's newest ``limit`` interactions as one array.
+    """All records of the users with at most ``limit`` interactions, oldest first.
 
-    The ranking keeps ``limit`` rows per user and task before it shuffles, so no
-    group grows with the data.
+    Users above the limit are left out before anything is gathered: the largest
+    through a broadcast of bounded size, the rest because no more than
+    ``limit + 1`` of a user's rows leave a task.
     """
-    w = W.partitionBy("user_id").orderBy(F.desc_nulls_last("ts"), F.asc("record"))
-    newest = (
-        event_records(events)
-        .select("user_id", "ts", "record")
-        .withColumn("rk", F.row_number().over(w))
-        .where(F.col("rk") <= limit)
-    )
+    hot = hot_keys(counts_per_user(events), "user_id", "n_events", above=limit)
+    others = events.join(F.broadcast(hot), "user_id", "left_anti")
+    order = [F.desc_nulls_last("ts"), *[c for c in events.columns if c not in ("user_id", "ts")]]
+    w = W.partitionBy("user_id").orderBy(*order)
+    some = others.withColumn("rk", F.row_number().over(w)).where(F.col("rk") <= limit + 1).drop("rk")
     rows = F.array_sort(F.collect_list(F.struct("ts", "record")))
-    return newest.groupBy("user_id").agg(F.transform(rows, lambda r: r["record"]).alias("interactions"))
+    gathered = event_records(some).groupBy("user_id").agg(rows.alias("rows"))
+    return gathered.where(F.size("rows") <= limit).select(
+        "user_id", F.transform("rows", lambda r: r["record"]).alias("interactions")
+    )
 
 
 def spilled_events(events: DataFrame, counts: DataFrame, limit: int) -> DataFrame:
@@ -38,21 +40,16 @@ def spilled_events(events: DataFrame, counts: DataFrame, limit: int) -> DataFram
     return event_records(events).join(heavy, "user_id", "left_semi").select("user_id", "ts", "record")
 
 
-def bundle_metadata(
-    routed: DataFrame, events: DataFrame, last20: DataFrame, params: JobParams
-) -> DataFrame:
-    """One row per user of ``routed`` (profile columns, n_events, template).
+def bundle_metadata(features: DataFrame, events: DataFrame, params: JobParams) -> DataFrame:
+    """Add ``metadata`` to rows of profile columns, last-20 lists, n_events and template.
 
     ``interactions`` is whole when ``interactions_inline`` is true; otherwise it is
     null and the user's records are the rows of :func:`spilled_events`.
     """
-    tags = last20.select("user_id", "recent_tag_interaction", "recent_category_interaction")
-    records = inline_events(events, params.inline_events)
-    joined = routed.join(tags, "user_id", "left").join(records, "user_id", "left")
     inline = F.col("n_events") <= params.inline_events
     none = F.array().cast("array<string>")
-    return joined.select(
-        "user_id",
+    metadata = F.struct(
+        F.col("user_id"),
         F.col("curriculum_name").alias("current_status"),
         F.col("student_year").alias("education_level"),
         F.col("faculty_name").alias("education_major"),
@@ -69,6 +66,8 @@ def bundle_metadata(
         inline.alias("interactions_inline"),
         F.when(inline, F.coalesce("interactions", none)).alias("interactions"),
     )
+    joined = features.join(inline_events(events, params.inline_events), "user_id", "left")
+    return joined.withColumn("metadata", metadata).drop("interactions")
 
 
 def build_bundle(rows: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ from intentloom.functions.text import (
     rows_of,
     strip,
 )
-from intentloom.operators.events import event_counts, recent_titles
+from intentloom.operators.events import counts_per_user, recent_titles
 from intentloom.params import (
     CONTEXT_FORMAT,
     CONTEXT_MARK,
@@ -107,8 +107,9 @@ def user_features(
     Events are reduced to one row per user before any join. All sides are hash
     partitioned by user by then, so the joins add one shuffle: that of the users.
     """
-    counts = event_counts(users, events)
-    features = users.join(counts, "user_id", "left")
+    features = users.join(counts_per_user(events), "user_id", "left").withColumn(
+        "n_events", F.coalesce("n_events", F.lit(0))
+    )
     if params.include_recent and params.recent_k > 0:
         titles = recent_titles(events, catalog, params.recent_k).drop("n_recent")
         features = features.join(titles, "user_id", "left")

@@ -1,9 +1,10 @@
 """Interaction features: counts, windows, latest distinct items, seen items.
 
-Heavy users: every per-user ranking below first folds (user, item) with a
-map-side partial aggregate and then keeps row_number <= K. Spark applies such a
-limit per task before the shuffle (WindowGroupLimit), so one user with a third
-of all rows sends at most K rows per task to the final ranking.
+Heavy users: rankings fold (user, item) with a map-side partial aggregate where
+they can, and keep row_number <= K. Spark applies such a limit per task before
+the shuffle (WindowGroupLimit), so one user with a third of all rows sends at
+most K rows per task to the final ranking. Where whole groups are gathered,
+:func:`hot_keys` takes the largest ones out first.
 """
 
 from __future__ import annotations
@@ -21,10 +22,25 @@ def _ntz(moment: datetime) -> Column:
     return F.lit(moment.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
 
 
+def hot_keys(
+    counts: DataFrame, key: str, n: str, most: int = 100_000, above: int = 0
+) -> DataFrame:
+    """Keys that hold more than one row in ``most`` of all rows, and more than ``above``.
+
+    No more than ``most`` such keys can exist, so the result may be broadcast
+    whatever the size of the data. ``counts`` has one row per key.
+    """
+    total = counts.agg(F.sum(n)).scalar()
+    return counts.where((F.col(n) > above) & (F.col(n) * most > total)).select(key)
+
+
+def counts_per_user(events: DataFrame) -> DataFrame:
+    return events.groupBy("user_id").agg(F.count("*").alias("n_events"))
+
+
 def event_counts(users: DataFrame, events: DataFrame) -> DataFrame:
-    counted = events.groupBy("user_id").agg(F.count("*").alias("n"))
-    return users.join(counted, "user_id", "left").select(
-        "user_id", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_events")
+    return users.join(counts_per_user(events), "user_id", "left").select(
+        "user_id", F.coalesce("n_events", F.lit(0)).alias("n_events")
     )
 
 

@@ -203,8 +203,10 @@ def _candidates(
     nothing is broadcast. Blocks follow unique ids, so copies of a vector, or an
     owner with very many queries, spread evenly.
     """
+    # Row counts need no column, so a stored table answers them from file footers.
     nq = _n_blocks(queries.count(), dim, block_bytes)
     nx = _n_blocks(items.count(), dim, block_bytes)
+    queries, items = _usable(queries, dim), _usable(items, dim)
 
     def block(n: int, *keys: str) -> Column:
         return F.pmod(F.xxhash64(*keys), F.lit(n)).cast("int")
@@ -255,11 +257,11 @@ def topk_items(
 ) -> DataFrame:
     """Exact top-k items per query. ``queries``: query_id, vector; ``items``: item_id,
     vector; ``exclude``: (query_id, item_id) pairs that must not be returned."""
-    single = _usable(queries, dim).select(
+    single = queries.select(
         F.col("query_id").alias("owner"), F.lit(1).alias("slot"), "vector", F.lit(1.0).alias("weight")
     )
     hidden = None if exclude is None else exclude.withColumnRenamed("query_id", "owner")
-    found = _candidates(single, _usable(items, dim), k, dim, hidden, block_bytes)
+    found = _candidates(single, items, k, dim, hidden, block_bytes)
     return _rank(found, k).withColumnRenamed("owner", "query_id")
 
 
@@ -282,13 +284,13 @@ def topk_weighted(
     product with the weighted sum of the slot vectors, so each user becomes one
     query.
     """
-    usable = _usable(slots, dim).withColumnRenamed("user_id", "owner")
+    queries = slots.withColumnRenamed("user_id", "owner")
     if fusion == "sum":
-        usable = _fused(usable, dim)
+        queries = _fused(_usable(queries, dim), dim)
     elif fusion != "max":
         raise ValueError(f"unknown fusion {fusion!r}")
     hidden = None if exclude is None else exclude.withColumnRenamed("user_id", "owner")
-    found = _candidates(usable, _usable(items, dim), k, dim, hidden, block_bytes)
+    found = _candidates(queries, items, k, dim, hidden, block_bytes)
     if fusion == "max":  # an owner's queries may sit in several blocks
         found = found.groupBy("owner", "item_id").agg(F.max("score").alias("score"))
     return _rank(found, k).withColumnRenamed("owner", "user_id")

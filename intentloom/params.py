@@ -227,6 +227,6 @@ class JobParams:
         clamp("recent_k", 0, 10)
         clamp("feed_text_max_chars", 0, 2000)
         clamp("retry_limit", 0)
-        clamp("inline_events", 1, 1000)
+        clamp("inline_events", 1, 999)  # one more is ranked; Spark limits early up to 1000
         if self.output_dim <= 0:
             raise ValueError(f"output_dim must be positive, got {self.output_dim}")

@@ -43,11 +43,11 @@ def events_json(spark: SparkSession, sf: str) -> DataFrame:
     "left join last20 on last20.user_id = users.user_id left join records on records.user_id = users.user_id"
 )
 def bundle_metadata(spark: SparkSession, sf: str) -> DataFrame:
-    users, events, catalog = V.users(spark, sf), V.events(spark, sf), V.catalog(spark, sf)
-    routed = users.join(E.event_counts(users, events), "user_id").withColumn(
-        "template", C.route("n_events", PARAMS.history_threshold)
-    )
-    made = B.bundle_metadata(routed, events, E.last20_profile(events, catalog), PARAMS)
+    events, catalog = V.events(spark, sf), V.catalog(spark, sf)
+    last20 = E.last20_profile(events, catalog)
+    features = C.user_features(V.users(spark, sf), events, catalog, last20, PARAMS)
+    routed = features.withColumn("template", C.route("n_events", PARAMS.history_threshold))
+    made = B.bundle_metadata(routed, events, PARAMS).select("metadata.*")
     texts = ("education_level", "target_roles", "tag_interaction", "category_interaction")
     digest = F.coalesce(F.md5(F.to_json("interactions")), F.lit("-"))
     return (

@@ -48,11 +48,9 @@ def refresh_all(
     profiles = scan_users(users)
     features = user_features(profiles, events, catalog, last20, params)
     prompts = render_prompts(features, templates, params)
-    # Only what later stages read crosses the checkpoint; long texts stay behind.
-    kept = prompts.select(
-        "user_id", "curriculum_name", "student_year", "faculty_name", "onboard_grp",
-        "n_events", "template", "language", "prompt", "error",
-    )
+    # Metadata joins here, where all sides lie by user already. Everything after the
+    # model stage is then a projection, and vectors are never shuffled.
+    kept = bundle_metadata(prompts, events, params).select("user_id", "metadata", "prompt", "error")
     answered = generate_answers(kept, generator, params).drop("prompt")
     resolved = resolve_answers(answered, text="raw").drop("raw")
     parsed = (
@@ -78,12 +76,7 @@ def refresh_all(
         vectors.alias("vectors"),
         F.coalesce("error", dim_error).alias("error"),
     )
-    metadata = bundle_metadata(stage, events, last20, params)
-    fields = [c for c in metadata.columns if c != "user_id"]
-    with_metadata = finished.join(
-        metadata.select("user_id", F.struct("user_id", *fields).alias("metadata")), "user_id"
-    )
-    bundles = build_bundle(with_metadata)
+    bundles = build_bundle(finished)
 
     call_s = F.aggregate("calls", F.lit(0.0), lambda acc, c: acc + c["latency_s"])
     too_few = F.coalesce(F.size("vectors"), F.lit(0)) < 5
@@ -94,7 +87,7 @@ def refresh_all(
         failure.alias("error"),
         (call_s > params.slow_s).alias("slow"),
         call_s.alias("llm_s"),
-        "template",
+        F.col("metadata.template").alias("template"),
     )
     return Refreshed(bundles, statuses, _ledger(finished, params))
 

@@ -96,13 +96,15 @@ def test_heavy_users_spill_to_rows_and_nothing_is_lost(spark):
     rows += [("light", f"i{n}", T0 + timedelta(seconds=n), "view", 0) for n in range(3)]
     events = spark.createDataFrame(rows, schemas.EVENTS).repartition(4)
     people = asked(spark, "heavy", "light", "cold")
-    profile = ("curriculum_name", "student_year", "faculty_name", "onboard_grp")
+    columns = (
+        "curriculum_name", "student_year", "faculty_name", "onboard_grp",
+        "recent_tag_interaction", "recent_category_interaction",
+    )
     routed = E.event_counts(people, events).withColumns(
-        {**{c: F.lit("x") for c in profile}, "template": F.lit("profile")}
+        {**{c: F.lit("x") for c in columns}, "template": F.lit("profile")}
     )
-    last20 = spark.createDataFrame([], schemas.LAST20)
     params = JobParams(inline_events=10)
-    got = {r.user_id: r for r in B.bundle_metadata(routed, events, last20, params).collect()}
+    got = {r.user_id: r for r in B.bundle_metadata(routed, events, params).select("metadata.*").collect()}
     assert got["heavy"].interactions is None and not got["heavy"].interactions_inline
     assert got["cold"].interactions == []
     assert [json.loads(x)["ts"] for x in got["light"].interactions] == [
@@ -113,6 +115,22 @@ def test_heavy_users_spill_to_rows_and_nothing_is_lost(spark):
     assert "event_ts" not in spilled.first().record
 
 
+def test_users_just_above_the_limit_are_not_inlined_cut_short(spark):
+    """Few enough rows to escape the hot list, more than the limit: left out whole."""
+    rows = [("just", f"i{n}", T0, "view", 0) for n in range(4)]
+    rows += [(f"u{m}", "same", T0, "view", 0) for m in range(8) for _ in range(3)]
+    events = spark.createDataFrame(rows, schemas.EVENTS).repartition(5)
+    got = {r.user_id: len(r.interactions) for r in B.inline_events(events, 3).collect()}
+    assert got == {f"u{m}": 3 for m in range(8)}
+
+
+def test_hot_keys_are_few_by_definition(spark):
+    counts = spark.createDataFrame([("a", 50), ("b", 30), ("c", 20)], "k string, n bigint")
+    assert [r.k for r in E.hot_keys(counts, "k", "n", 3).collect()] == ["a"]
+    assert [r.k for r in E.hot_keys(counts, "k", "n", 4).orderBy("k").collect()] == ["a", "b"]
+    assert E.hot_keys(counts, "k", "n", 1).count() == 0
+
+
 def test_retention(spark):
     df = spark.createDataFrame([("a", T0), ("b", T0 - timedelta(seconds=11)), ("c", None)], "k string, created timestamp_ntz")
     kept = B.retention_filter(df, T0, 10)
