@@ -194,6 +194,7 @@ def _candidates(
     dim: int,
     exclude: DataFrame | None,
     block_bytes: int,
+    one_each: bool,
 ) -> DataFrame:
     """Best k items of each owner in every block: (owner, item_id, score).
 
@@ -201,7 +202,8 @@ def _candidates(
     bytes. Every (query block, item block) cell is one task-sized matrix product
     that keeps k rows per owner, so the pairs themselves never exist as rows and
     nothing is broadcast. Blocks follow unique ids, so copies of a vector, or an
-    owner with very many queries, spread evenly.
+    owner with very many queries, spread evenly. ``one_each`` says that every
+    owner has the single slot 1.
     """
     # Row counts need no column, so a stored table answers them from file footers.
     nq = _n_blocks(queries.count(), dim, block_bytes)
@@ -218,9 +220,11 @@ def _candidates(
         F.explode(F.sequence(F.lit(0), F.lit(nx - 1))).alias("xb"),
     )
     if exclude is not None:
-        # a pair goes to each block its owner has queries in, at most nq
-        where = placed.select("owner", "qb").distinct()
-        hidden = exclude.join(where, "owner").select(
+        if one_each or nq == 1:
+            where = exclude.withColumn("slot", F.lit(1)).withColumn("qb", block(nq, "owner", "slot"))
+        else:  # a pair goes to each block its owner has queries in, at most nq
+            where = exclude.join(placed.select("owner", "qb").distinct(), "owner")
+        hidden = where.select(
             "owner", "item_id",
             F.lit(None).cast(queries.schema["vector"].dataType).alias("query"),
             F.lit(None).cast("double").alias("weight"),
@@ -261,7 +265,7 @@ def topk_items(
         F.col("query_id").alias("owner"), F.lit(1).alias("slot"), "vector", F.lit(1.0).alias("weight")
     )
     hidden = None if exclude is None else exclude.withColumnRenamed("query_id", "owner")
-    found = _candidates(single, items, k, dim, hidden, block_bytes)
+    found = _candidates(single, items, k, dim, hidden, block_bytes, one_each=True)
     return _rank(found, k).withColumnRenamed("owner", "query_id")
 
 
@@ -290,7 +294,7 @@ def topk_weighted(
     elif fusion != "max":
         raise ValueError(f"unknown fusion {fusion!r}")
     hidden = None if exclude is None else exclude.withColumnRenamed("user_id", "owner")
-    found = _candidates(queries, items, k, dim, hidden, block_bytes)
+    found = _candidates(queries, items, k, dim, hidden, block_bytes, one_each=fusion == "sum")
     if fusion == "max":  # an owner's queries may sit in several blocks
         found = found.groupBy("owner", "item_id").agg(F.max("score").alias("score"))
     return _rank(found, k).withColumnRenamed("owner", "user_id")
