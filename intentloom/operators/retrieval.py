@@ -23,6 +23,8 @@ SCORE_DECIMALS = 6
 BLOCK_BYTES = 48 << 20
 # Scores held at once inside a task.
 SCORE_CELLS = 4 << 20
+# Queries whose scoring outweighs sending their task another copy of the items.
+MIN_QUERIES = 2048
 
 
 def truncate_vectors(df: DataFrame, dim: int | None, vector: str = "vector") -> DataFrame:
@@ -109,16 +111,43 @@ def _matrix(vectors: pa.ChunkedArray, dim: int) -> np.ndarray:
     return flat.reshape(-1, dim).astype(np.float64)
 
 
-def _keep_best(scores: np.ndarray, k: int) -> np.ndarray:
-    """Mask of each row's k best; of equal scores the leftmost columns stay."""
-    n = scores.shape[1]
-    if n <= k:
-        return np.isfinite(scores)
-    limit = np.partition(scores, n - k, axis=1)[:, n - k, None]
-    above = scores > limit
-    tied = scores == limit
-    room = k - above.sum(axis=1, keepdims=True)
-    return (above | (tied & (tied.cumsum(axis=1) <= room))) & np.isfinite(scores)
+def _best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, column, rounded score) of each row's k best; equal scores go by column.
+
+    The k-th largest of the maxima of column groups is a lower bound of the k-th
+    largest score, so two cheap passes leave few candidates to sort. The slack lets
+    in whatever may round to the same value. Scores of -inf are not results.
+    """
+    n_rows, n = scores.shape
+    starts = np.arange(0, n, max(1, n // max(64, 4 * k)))
+    if k < len(starts):
+        tops = np.fmax.reduceat(scores, starts, axis=1)  # fmax passes over NaN
+        tops[np.isnan(tops)] = -np.inf
+        limit = np.partition(tops, len(starts) - k, axis=1)[:, len(starts) - k, None]
+        wanted = scores >= limit - 2 * 10.0**-SCORE_DECIMALS
+    else:
+        wanted = np.ones(scores.shape, dtype=bool)
+    rows, cols = np.nonzero(wanted)
+    values = np.round(scores[rows, cols], SCORE_DECIMALS)
+    kept = np.isfinite(values)
+    rows, cols, values = rows[kept], cols[kept], values[kept]
+    order = np.lexsort((cols, -values, rows))
+    rows, cols, values = rows[order], cols[order], values[order]
+    first = np.searchsorted(rows, np.arange(n_rows))
+    kept = np.arange(len(rows)) - first[rows] < k
+    return rows[kept], cols[kept], values[kept]
+
+
+def _max_per_group(rows: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Largest value per column of each run of rows; faster than reduceat for short runs."""
+    sizes = np.diff(first, append=len(rows))
+    if sizes.max() == 1:
+        return rows
+    best = rows[first]
+    for place in range(1, sizes.max()):
+        longer = np.flatnonzero(sizes > place)
+        best[longer] = np.fmax(best[longer], rows[first[longer] + place])
+    return best
 
 
 def _scorer(k: int, dim: int):
@@ -162,21 +191,21 @@ def _scorer(k: int, dim: int):
             best = None
             for at in range(first[lo], ends[hi - 1], rows_at_once):
                 to = min(at + rows_at_once, ends[hi - 1])
-                part = np.round((q[at:to] @ x.T) * weight[at:to], SCORE_DECIMALS)
+                part = (q[at:to] * weight[at:to]) @ x.T
                 if hi == lo + 1:  # one owner, perhaps in several slices
-                    part = part.max(axis=0, keepdims=True)
+                    part = np.fmax.reduce(part, axis=0, keepdims=True)
                 else:
-                    part = np.maximum.reduceat(part, first[lo:hi] - at, axis=0)
-                best = part if best is None else np.maximum(best, part)
+                    part = _max_per_group(part, first[lo:hi] - at)
+                best = part if best is None else np.fmax(best, part)
             a, b = np.searchsorted(hide_o, [lo, hi])
             best[hide_o[a:b] - lo, hide_x[a:b]] = -np.inf
-            rows, cols = np.nonzero(_keep_best(best, k))
+            rows, cols, values = _best(best, k)
             found.append(
                 pa.table(
                     [
                         owners.take(pa.array(rows + lo)),
                         item_ids.take(pa.array(cols)),
-                        pa.array(best[rows, cols]),
+                        pa.array(values),
                     ],
                     schema=schema,
                 )
@@ -206,8 +235,12 @@ def _candidates(
     owner has the single slot 1.
     """
     # Row counts need no column, so a stored table answers them from file footers.
-    nq = _n_blocks(queries.count(), dim, block_bytes)
+    n_queries = queries.count()
+    nq = _n_blocks(n_queries, dim, block_bytes)
     nx = _n_blocks(items.count(), dim, block_bytes)
+    # Few blocks would leave cores idle; more query blocks only repeat the items.
+    cores = queries.sparkSession.sparkContext.defaultParallelism
+    nq = max(nq, min(4 * cores // nx, n_queries // MIN_QUERIES))
     queries, items = _usable(queries, dim), _usable(items, dim)
 
     def block(n: int, *keys: str) -> Column:

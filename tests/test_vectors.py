@@ -205,3 +205,15 @@ def test_fusion_name_is_checked(spark, data):
     slots = user_slots(spark, data[0], np.ones(30))
     with pytest.raises(ValueError):
         R.topk_weighted(slots, table(spark, range(120), data[1], "item_id"), 3, DIM, fusion="mean")
+
+
+def test_a_vector_with_nan_hides_only_itself(spark, data):
+    queries, items = data
+    broken = items.copy()
+    broken[5, 0] = np.nan
+    found = R.topk_items(
+        table(spark, range(30), queries, "query_id"), table(spark, range(120), broken, "item_id"), 7, DIM
+    )
+    s = scores_of(queries, items)
+    table_of = {str(q): {str(i): s[q, i] for i in range(120) if i != 5} for q in range(30)}
+    assert collected(found, "query_id") == brute(table_of, 7)
