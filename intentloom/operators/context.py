@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from intentloom.functions.text import (
     col,
@@ -15,7 +15,6 @@ from intentloom.functions.text import (
     parse_list_column,
     parse_roles,
     parse_skills,
-    rows_of,
     strip,
 )
 from intentloom.operators.events import counts_per_user, recent_titles
@@ -136,10 +135,6 @@ def route_3way(n_events: Column | str, threshold: int) -> Column:
     return F.when(n >= threshold, "history").when(n <= 1, "starter").otherwise("mixed")
 
 
-def template_table(spark: SparkSession, templates: Mapping[str, str] = TEMPLATES) -> DataFrame:
-    return rows_of(spark, sorted(templates.items()), "template", "body")
-
-
 def render(body: Column, language: Column, context: Column, history: Column) -> Column:
     """Literal replacement, in the order language, context, history."""
     text = F.replace(body, F.lit(LANGUAGE_MARK), or_default(language, DEFAULT_LANGUAGE))
@@ -147,23 +142,29 @@ def render(body: Column, language: Column, context: Column, history: Column) ->
     return F.replace(text, F.lit(HISTORY_MARK), F.coalesce(history, F.lit("")))
 
 
-def render_prompts(features: DataFrame, templates: DataFrame, params: JobParams) -> DataFrame:
+def render_prompts(
+    features: DataFrame, params: JobParams, templates: Mapping[str, str] = TEMPLATES
+) -> DataFrame:
     """Prompt per user; an unknown or empty template fails that user only.
 
-    The template table is broadcast: it is the job's own configuration, a
-    handful of rows, and does not grow with the data.
+    The templates are the job's own configuration and enter as literals: a join on
+    the template name would gather all users on a handful of keys.
     """
     language = normalize_language("preferred_language")
-    routed = features.withColumn("template", route("n_events", params.history_threshold))
-    joined = routed.join(F.broadcast(templates), "template", "left")
-    missing = F.coalesce(F.length("body"), F.lit(0)) == 0
+    body = F.lit(None).cast("string")
+    for name, text in sorted(templates.items()):
+        body = F.when(F.col("template") == name, F.lit(text)).otherwise(body)
+    routed = features.withColumn("template", route("n_events", params.history_threshold)).withColumn(
+        "_body", body
+    )
+    missing = F.coalesce(F.length("_body"), F.lit(0)) == 0
     prompt = render(
-        F.col("body"),
+        F.col("_body"),
         language,
         context_text(language),
         history_text(language, params.window_days),
     )
-    return joined.select(
+    return routed.select(
         *[F.col(c) for c in features.columns],
         "template",
         language.alias("language"),

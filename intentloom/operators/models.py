@@ -4,9 +4,11 @@ A factory runs once per Python task and returns the callable, so a client is
 built once and used for all batches of that task.
 
 * generator: ``Series[str] -> Series[str]`` or a frame with ``text`` and, where
-  known, ``input_tokens``, ``output_tokens``, ``latency_s``. A call that raises
-  fails its batch's rows, not the job.
+  known, ``input_tokens``, ``output_tokens``, ``latency_s``.
 * embedder: ``Series[str] -> sequence of vectors``.
+
+A batch is an Arrow batch (``spark.sql.execution.arrow.maxRecordsPerBatch`` rows). A
+batch that raises is halved until only the texts that fail alone are left out.
 """
 
 from __future__ import annotations
@@ -46,6 +48,7 @@ _GENERATED = (
 )
 _ARROW_GENERATED = to_arrow_type(_GENERATED)
 _VECTOR = T.ArrayType(T.FloatType())
+_EMBEDDED_ONE = T.StructType().add("vector", _VECTOR).add("error", T.StringType())
 _EMBEDDED = T.StructType().add("vectors", T.ArrayType(_VECTOR)).add("error", T.StringType())
 
 
@@ -56,6 +59,31 @@ def _int(value: object) -> int | None:
         return None
 
 
+def _each(call: Callable[[list[str]], list], texts: list[str]) -> list[tuple[Any, str | None]]:
+    """(result, error) per text, with failures narrowed down to single texts."""
+    if not texts:
+        return []
+    try:
+        made = call(texts)
+        if len(made) != len(texts):
+            raise ValueError(f"{len(made)} results for {len(texts)} texts")
+        return [(result, None) for result in made]
+    except Exception as failure:  # noqa: BLE001 - whatever an injected call raises
+        if len(texts) == 1:
+            return [(None, f"{type(failure).__name__}: {failure}")]
+        half = len(texts) // 2
+        return _each(call, texts[:half]) + _each(call, texts[half:])
+
+
+def _ask(call: Callable[[pd.Series], Any], prompts: list[str]) -> list[dict]:
+    started = time.perf_counter()
+    reply = call(pd.Series(prompts, dtype=object))
+    share = (time.perf_counter() - started) / len(prompts)
+    if not isinstance(reply, pd.DataFrame):
+        reply = pd.DataFrame({"text": reply})
+    return [{"latency_s": share, **told} for told in reply.to_dict("records")]
+
+
 def generate(prompt: Column | str, factory: Factory, retry_limit: int) -> Column:
     """Call the generator; rows whose answer holds no JSON object are asked again,
     up to ``retry_limit`` more times. Every attempt is listed in ``calls``."""
@@ -68,29 +96,24 @@ def generate(prompt: Column | str, factory: Factory, retry_limit: int) -> Column
             rows: list[dict] = [{"raw": None, "error": None, "calls": []} for _ in prompts]
             todo = [i for i, p in enumerate(prompts) if p is not None]
             for attempt in range(1, retry_limit + 2):
-                if not todo:
-                    break
-                started = time.perf_counter()
-                try:
-                    reply = call(pd.Series([prompts[i] for i in todo], dtype=object))
-                except Exception as failure:  # noqa: BLE001 - one batch, not the job
-                    for i in todo:
-                        rows[i]["error"] = f"{type(failure).__name__}: {failure}"
-                    break
-                share = (time.perf_counter() - started) / len(todo)
-                if not isinstance(reply, pd.DataFrame):
-                    reply = pd.DataFrame({"text": reply})
-                for i, told in zip(todo, reply.to_dict("records"), strict=True):
+                again = []
+                replies = _each(lambda some: _ask(call, some), [prompts[i] for i in todo])
+                for i, (told, error) in zip(todo, replies, strict=True):
+                    rows[i]["error"] = error
+                    if error is not None:
+                        continue  # only unreadable answers are asked again
                     rows[i]["raw"] = told["text"]
                     rows[i]["calls"].append(
                         {
                             "attempt": attempt,
                             "input_tokens": _int(told.get("input_tokens")),
                             "output_tokens": _int(told.get("output_tokens")),
-                            "latency_s": float(told.get("latency_s", share)),
+                            "latency_s": float(told["latency_s"]),
                         }
                     )
-                todo = [i for i in todo if resolve([rows[i]["raw"]], rows[i]["raw"])[0] is None]
+                    if resolve([told["text"]], told["text"])[0] is None:
+                        again.append(i)
+                todo = again
             yield pa.array(rows, _ARROW_GENERATED)
 
     return run.asNondeterministic()(col(prompt))
@@ -116,23 +139,24 @@ def _lists(values: pa.Array, sizes: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), values)
 
 
-def _vectors(call: Callable[[pd.Series], Any], texts: list[str]) -> pa.Array:
-    """Vectors of a batch as one Arrow list array over a flat float buffer."""
-    made = [np.asarray(v, dtype=np.float32) for v in call(pd.Series(texts, dtype=object))] if texts else []
-    if len(made) != len(texts):
-        raise ValueError(f"{len(made)} vectors for {len(texts)} texts")
-    flat = np.concatenate(made) if made else np.zeros(0, np.float32)
-    return _lists(pa.array(flat, pa.float32()), np.array([len(v) for v in made], dtype=np.int64))
+def _vectors(call: Callable[[pd.Series], Any], texts: list[str]) -> tuple[pa.Array, list[str | None]]:
+    """(vectors, errors) of a batch; the vectors share one flat float buffer."""
+    made = _each(lambda some: list(call(pd.Series(some, dtype=object))), texts)
+    rows = [np.zeros(0, np.float32) if v is None else np.asarray(v, dtype=np.float32) for v, _ in made]
+    flat = np.concatenate(rows) if rows else np.zeros(0, np.float32)
+    sizes = np.array([len(v) for v in rows], dtype=np.int64)
+    return _lists(pa.array(flat, pa.float32()), sizes), [error for _, error in made]
 
 
 def embed(text: Column | str, factory: Factory) -> Column:
-    """Raw vector of each text; a blank text is embedded as one space."""
+    """struct(vector, error) of each text; a blank text is embedded as one space."""
 
-    @F.arrow_udf(_VECTOR)
+    @F.arrow_udf(_EMBEDDED_ONE)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         call = factory()
         for texts in batches:
-            yield _vectors(call, texts.to_pylist())
+            vectors, errors = _vectors(call, texts.to_pylist())
+            yield pa.StructArray.from_arrays([vectors, pa.array(errors, pa.string())], ["vector", "error"])
 
     stripped = strip(F.coalesce(col(text), F.lit("")))
     return run.asNondeterministic()(F.when(stripped == "", " ").otherwise(stripped))
@@ -142,7 +166,7 @@ def embed_lists(texts: Column, factory: Factory) -> Column:
     """struct(vectors, error) for an array of texts per row, in one call per batch.
 
     Vectors come back beside their texts, so no row is exploded and regrouped. A
-    call that raises fails its batch's rows, not the job.
+    row's error is that of its first failing text.
     """
 
     @F.arrow_udf(_EMBEDDED)
@@ -150,14 +174,15 @@ def embed_lists(texts: Column, factory: Factory) -> Column:
         call = factory()
         for lists in batches:
             sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-            error = None
-            try:
-                vectors = _lists(_vectors(call, lists.flatten().to_pylist()), sizes)
-            except Exception as failure:  # noqa: BLE001 - one batch, not the job
-                error = f"{type(failure).__name__}: {failure}"
-                vectors = pa.nulls(len(lists), pa.list_(pa.list_(pa.float32())))
-            errors = pa.array([error] * len(lists), pa.string())
-            yield pa.StructArray.from_arrays([vectors, errors], ["vectors", "error"])
+            vectors, errors = _vectors(call, lists.flatten().to_pylist())
+            ends = np.cumsum(sizes)
+            first = [
+                next((e for e in errors[end - size : end] if e is not None), None)
+                for size, end in zip(sizes, ends, strict=True)
+            ]
+            yield pa.StructArray.from_arrays(
+                [_lists(vectors, sizes), pa.array(first, pa.string())], ["vectors", "error"]
+            )
 
     blank_safe = F.transform(
         texts, lambda t: F.coalesce(F.nullif(strip(F.coalesce(t, F.lit(""))), F.lit("")), F.lit(" "))
@@ -173,10 +198,14 @@ def finish_vectors(vectors: Column, dim: int) -> tuple[Column, Column]:
 
 
 def embed_texts(df: DataFrame, text: str, factory: Factory, dim: int) -> DataFrame:
-    """Add ``vector``: raw vector, cut to ``dim``, then unit length. Documents and
-    queries differ only in the factory that is passed."""
-    raw = df.withColumn("vector", embed(text, factory))
-    return raw.withColumn("vector", normalize(cut("vector", dim)))
+    """Add ``vector``: raw vector, cut to ``dim``, then unit length; and ``embed_error``
+    of texts that failed or came back too short. Documents and queries differ only
+    in the factory that is passed."""
+    raw = df.withColumn("_e", embed(text, factory))
+    error = F.coalesce("_e.error", F.when(~has_dim("_e.vector", dim), F.lit(f"embedding dim below {dim}")))
+    return raw.withColumns(
+        {"vector": normalize(cut("_e.vector", dim)), "embed_error": error}
+    ).drop("_e")
 
 
 def materialize(df: DataFrame) -> DataFrame:

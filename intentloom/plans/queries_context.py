@@ -216,7 +216,7 @@ def history_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _prompts(spark: SparkSession, sf: str) -> DataFrame:
-    return C.render_prompts(_features(spark, sf), C.template_table(spark), PARAMS)
+    return C.render_prompts(_features(spark, sf), PARAMS)
 
 
 @query(_PROMPT_VIEWS + " select user_id, template, language, prompt from prompts")
@@ -270,7 +270,6 @@ def _refreshed(job, spark: SparkSession, sf: str, **more: DataFrame) -> refresh.
     return job(
         **more,
         **_inputs(spark, sf),
-        templates=C.template_table(spark),
         generator=template_generator,
         embedder=hashing_embedder(EMBED_DIM),
         params=PARAMS,

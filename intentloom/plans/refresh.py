@@ -6,6 +6,7 @@ skip rows that have one, and every user ends as one row with a status.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
@@ -21,7 +22,7 @@ from intentloom.operators.models import (
     generate_answers,
     materialize,
 )
-from intentloom.params import JobParams
+from intentloom.params import TEMPLATES, JobParams
 from intentloom.sources.readers import missing_users, scan_users
 
 
@@ -39,15 +40,15 @@ def refresh_all(
     events: DataFrame,
     catalog: DataFrame,
     last20: DataFrame,
-    templates: DataFrame,
     generator: Factory,
     embedder: Factory,
     params: JobParams,
+    templates: Mapping[str, str] = TEMPLATES,
 ) -> Refreshed:
-    """``catalog`` is :func:`item_catalog`'s output, ``templates`` has (template, body)."""
+    """``catalog`` is :func:`item_catalog`'s output; ``templates`` maps names to texts."""
     profiles = scan_users(users)
     features = user_features(profiles, events, catalog, last20, params)
-    prompts = render_prompts(features, templates, params)
+    prompts = render_prompts(features, params, templates)
     # Metadata joins here, where all sides lie by user already. Everything after the
     # model stage is then a projection, and vectors are never shuffled.
     kept = bundle_metadata(prompts, events, params).select("user_id", "metadata", "prompt", "error")
@@ -126,10 +127,10 @@ def refresh_selected(
     events: DataFrame,
     catalog: DataFrame,
     last20: DataFrame,
-    templates: DataFrame,
     generator: Factory,
     embedder: Factory,
     params: JobParams,
+    templates: Mapping[str, str] = TEMPLATES,
 ) -> Refreshed:
     """The same job for the asked-for users; unknown ones end as failed rows.
 
@@ -142,7 +143,7 @@ def refresh_selected(
         return df.join(ids, "user_id", "left_semi")
 
     done = refresh_all(
-        only(users), only(events), catalog, only(last20), templates, generator, embedder, params
+        only(users), only(events), catalog, only(last20), generator, embedder, params, templates
     )
     unknown = missing_users(ids, users)
     return Refreshed(

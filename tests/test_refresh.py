@@ -30,7 +30,6 @@ def inputs(spark):
         "events": spark.createDataFrame(events, schemas.EVENTS),
         "catalog": catalog,
         "last20": spark.createDataFrame([("u1", "['x']", "['a']", "['b']", "[]")], schemas.LAST20),
-        "templates": C.template_table(spark),
         "generator": template_generator,
         "embedder": hashing_embedder(24),
         "params": PARAMS,
@@ -67,8 +66,8 @@ def test_selected_users(spark, inputs):
     assert {u: r.status for u, r in by_user(done.statuses).items()} == {"u3": "Complete", "ghost": "Fail"}
 
 
-def test_a_missing_template_fails_its_users_only(spark, inputs):
-    only = C.template_table(spark, {"profile": TEMPLATES["profile"], "interaction": ""})
+def test_a_missing_template_fails_its_users_only(inputs):
+    only = {"profile": TEMPLATES["profile"], "interaction": ""}
     done = refresh.refresh_all(**{**inputs, "templates": only})
     got = {u: (r.status, r.error) for u, r in by_user(done.statuses).items()}
     assert got["u1"] == ("Fail", "Missing prompt interaction")
@@ -100,6 +99,37 @@ def test_a_failing_embedder_fails_rows_not_the_job(inputs):
     assert {r.error for r in done.statuses.collect()} == {"RuntimeError: down"}
 
 
+def picky_embedder():
+    good = hashing_embedder(24)()
+
+    def embed(texts):
+        if any("สายเฉพาะ" in t or "แนวทาง" in t for t in texts):
+            raise RuntimeError("refused")
+        return good(texts)
+
+    return embed
+
+
+def picky_generator():
+    good = template_generator()
+
+    def call(prompts):
+        if any("Answer language: th" in p for p in prompts):
+            raise ConnectionError("blocked")
+        return good(prompts)
+
+    return call
+
+
+def test_one_refused_text_fails_its_user_only(inputs):
+    """Calls raise for whole batches; halving finds the one user that cannot be served."""
+    for change in ({"embedder": picky_embedder}, {"generator": picky_generator}):
+        done = refresh.refresh_all(**{**inputs, **change})
+        got = {u: (r.status, r.error) for u, r in by_user(done.statuses).items()}
+        assert got["u2"] in (("Fail", "RuntimeError: refused"), ("Fail", "ConnectionError: blocked"))
+        assert got["u1"][0] == got["u3"][0] == "Complete"
+
+
 def test_short_vectors_are_reported(inputs):
     done = refresh.refresh_all(**{**inputs, "embedder": hashing_embedder(8)})
     assert {r.error for r in done.statuses.collect()} == {"embedding dim below 16"}
@@ -145,6 +175,10 @@ def test_embed_blank_and_null_texts(spark):
     got = {r.id: r.vector for r in M.embed_texts(df, "t", hashing_embedder(32), 32).collect()}
     assert got["1"] == got["2"] == [0.0] * 32
     assert abs(sum(x * x for x in got["3"]) - 1) < 1e-6
+    short = M.embed_texts(df, "t", hashing_embedder(4), 32).collect()
+    assert {(r.vector, r.embed_error) for r in short} == {(None, "embedding dim below 32")}
+    failed = M.embed_texts(df, "t", raising_embedder, 32).collect()
+    assert {(r.vector, r.embed_error) for r in failed} == {(None, "RuntimeError: down")}
 
 
 def test_placeholders_are_filled_in_order(spark):
