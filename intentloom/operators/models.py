@@ -22,13 +22,12 @@ from typing import Any
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from intentloom.functions.answers_json import resolve
 from intentloom.functions.text import col, strip
-from intentloom.functions.vectors import cut, has_dim, normalize
+from intentloom.functions.vectors import as_lists, sizes_of, unit
 from intentloom.params import JobParams
 
 Factory = Callable[[], Callable[[pd.Series], Any]]
@@ -133,55 +132,58 @@ def generate_answers(prompts: DataFrame, factory: Factory, params: JobParams) ->
     )
 
 
-def _lists(values: pa.Array, sizes: np.ndarray) -> pa.Array:
-    """Consecutive values cut into lists of the given sizes."""
-    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), values)
-
-
-def _vectors(call: Callable[[pd.Series], Any], texts: list[str]) -> tuple[pa.Array, list[str | None]]:
-    """(vectors, errors) of a batch; the vectors share one flat float buffer."""
-    made = _each(lambda some: list(call(pd.Series(some, dtype=object))), texts)
-    rows = [np.zeros(0, np.float32) if v is None else np.asarray(v, dtype=np.float32) for v, _ in made]
+def _vectors(
+    call: Callable[[pd.Series], Any], texts: list[str], dim: int
+) -> tuple[pa.Array, list[str | None]]:
+    """(unit vectors cut to ``dim``, errors) of a batch; a failed text has an empty vector."""
+    rows, errors = [], []
+    for vector, error in _each(lambda some: list(call(pd.Series(some, dtype=object))), texts):
+        row = np.zeros(0, np.float32) if error else np.asarray(vector, dtype=np.float32)[:dim]
+        if not error and len(row) < dim:
+            row, error = row[:0], f"embedding dim below {dim}"
+        rows.append(row)
+        errors.append(error)
+    sizes = np.array([len(r) for r in rows], dtype=np.int64)
     flat = np.concatenate(rows) if rows else np.zeros(0, np.float32)
-    sizes = np.array([len(v) for v in rows], dtype=np.int64)
-    return _lists(pa.array(flat, pa.float32()), sizes), [error for _, error in made]
+    return as_lists(pa.array(unit(flat, sizes)), sizes), errors
 
 
-def embed(text: Column | str, factory: Factory) -> Column:
+def embed(text: Column | str, factory: Factory, dim: int) -> Column:
     """struct(vector, error) of each text; a blank text is embedded as one space."""
 
     @F.arrow_udf(_EMBEDDED_ONE)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         call = factory()
         for texts in batches:
-            vectors, errors = _vectors(call, texts.to_pylist())
+            vectors, errors = _vectors(call, texts.to_pylist(), dim)
             yield pa.StructArray.from_arrays([vectors, pa.array(errors, pa.string())], ["vector", "error"])
 
     stripped = strip(F.coalesce(col(text), F.lit("")))
     return run.asNondeterministic()(F.when(stripped == "", " ").otherwise(stripped))
 
 
-def embed_lists(texts: Column, factory: Factory) -> Column:
+def embed_lists(texts: Column, factory: Factory, dim: int) -> Column:
     """struct(vectors, error) for an array of texts per row, in one call per batch.
 
-    Vectors come back beside their texts, so no row is exploded and regrouped. A
-    row's error is that of its first failing text.
+    Vectors come back beside their texts, so no row is exploded and regrouped. They
+    are cut and scaled in the same pass. A row's error is that of its first failing
+    text; such a row has no vectors, nor has one without an array.
     """
 
     @F.arrow_udf(_EMBEDDED)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         call = factory()
         for lists in batches:
-            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-            vectors, errors = _vectors(call, lists.flatten().to_pylist())
-            ends = np.cumsum(sizes)
+            sizes = sizes_of(lists)
+            vectors, errors = _vectors(call, lists.flatten().to_pylist(), dim)
             first = [
                 next((e for e in errors[end - size : end] if e is not None), None)
-                for size, end in zip(sizes, ends, strict=True)
+                for size, end in zip(sizes, np.cumsum(sizes), strict=True)
             ]
+            null = np.array([e is not None for e in first], dtype=bool)
+            null |= lists.is_null().to_numpy(zero_copy_only=False)
             yield pa.StructArray.from_arrays(
-                [_lists(vectors, sizes), pa.array(first, pa.string())], ["vectors", "error"]
+                [as_lists(vectors, sizes, null), pa.array(first, pa.string())], ["vectors", "error"]
             )
 
     blank_safe = F.transform(
@@ -190,22 +192,13 @@ def embed_lists(texts: Column, factory: Factory) -> Column:
     return run.asNondeterministic()(blank_safe)
 
 
-def finish_vectors(vectors: Column, dim: int) -> tuple[Column, Column]:
-    """(unit vectors cut to ``dim``, error) of an array of raw vectors."""
-    enough = F.forall(vectors, lambda v: has_dim(v, dim))
-    done = F.when(enough, F.transform(vectors, lambda v: normalize(cut(v, dim))))
-    return done, F.when(~enough, F.lit(f"embedding dim below {dim}"))
-
-
 def embed_texts(df: DataFrame, text: str, factory: Factory, dim: int) -> DataFrame:
-    """Add ``vector``: raw vector, cut to ``dim``, then unit length; and ``embed_error``
-    of texts that failed or came back too short. Documents and queries differ only
-    in the factory that is passed."""
-    raw = df.withColumn("_e", embed(text, factory))
-    error = F.coalesce("_e.error", F.when(~has_dim("_e.vector", dim), F.lit(f"embedding dim below {dim}")))
-    return raw.withColumns(
-        {"vector": normalize(cut("_e.vector", dim)), "embed_error": error}
-    ).drop("_e")
+    """Add ``vector``, cut to ``dim`` and then of unit length, and ``embed_error`` of texts
+    that failed or came back too short. Documents and queries differ only in the
+    factory that is passed."""
+    made = df.withColumn("_e", embed(text, factory, dim))
+    vector = F.when(F.col("_e.error").isNull(), F.col("_e.vector"))
+    return made.withColumns({"vector": vector, "embed_error": F.col("_e.error")}).drop("_e")
 
 
 def materialize(df: DataFrame) -> DataFrame:

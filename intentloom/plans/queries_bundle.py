@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
-from intentloom.functions.vectors import normalize
 from intentloom.operators import bundle as B, context as C, events as E, ledger as L
 from intentloom.params import SLOW_CALL_S_BATCH, JobParams
 from intentloom.plans.queries_history import COUNTS, LAST20
@@ -74,12 +73,12 @@ def _bundles(spark: SparkSession, sf: str) -> DataFrame:
         queries.alias("queries"),
         F.lit(None).cast("string").alias("error"),
     )
-    vectors = F.transform(
-        "queries",
-        lambda q, i: normalize(
-            F.array(F.length(q["query_text"]).cast("float"), (i + 1).cast("float"))
-        ),
-    )
+    def direction(q: Column, i: Column) -> Column:
+        x, y = F.length(q["query_text"]), i + 1
+        size = F.sqrt(x * x + y * y)
+        return F.array((x / size).cast("float"), (y / size).cast("float"))
+
+    vectors = F.transform("queries", direction)
     return B.build_bundle(parsed.withColumn("vectors", vectors))
 
 

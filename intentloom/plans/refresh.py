@@ -18,11 +18,10 @@ from intentloom.operators.ledger import embedding_cost_usd, ledger_union, llm_co
 from intentloom.operators.models import (
     Factory,
     embed_lists,
-    finish_vectors,
     generate_answers,
     materialize,
 )
-from intentloom.params import TEMPLATES, JobParams
+from intentloom.params import SLOTS, TEMPLATES, JobParams
 from intentloom.sources.readers import missing_users, scan_users
 
 
@@ -62,25 +61,20 @@ def refresh_all(
 
     # A failed row sends no texts to the embedder.
     texts = F.when(F.col("_error").isNull(), F.transform("queries", lambda q: q["query_text"]))
-    embedded = parsed.withColumn("_e", embed_lists(texts, embedder))
-    stage = materialize(
+    embedded = parsed.withColumn("_e", embed_lists(texts, embedder, params.output_dim))
+    finished = materialize(
         embedded.select(
             *[c for c in parsed.columns if c != "_error"],
-            F.col("_e.vectors").alias("raw_vectors"),
+            F.col("_e.vectors").alias("vectors"),
+            # statuses and costs then read no vectors; null without an embedding
+            F.size("_e.vectors").alias("n_vectors"),
             F.coalesce("_error", "_e.error").alias("error"),
         )
     )
-
-    vectors, dim_error = finish_vectors(F.col("raw_vectors"), params.output_dim)
-    finished = stage.select(
-        *[c for c in stage.columns if c not in ("raw_vectors", "error")],
-        vectors.alias("vectors"),
-        F.coalesce("error", dim_error).alias("error"),
-    )
     bundles = build_bundle(finished)
 
     call_s = F.aggregate("calls", F.lit(0.0), lambda acc, c: acc + c["latency_s"])
-    too_few = F.coalesce(F.size("vectors"), F.lit(0)) < 5
+    too_few = F.coalesce("n_vectors", F.lit(0)) < SLOTS
     failure = F.coalesce("error", F.when(too_few, F.lit("bad_query_count")))
     statuses = finished.select(
         "user_id",
@@ -108,11 +102,11 @@ def _ledger(finished: DataFrame, params: JobParams) -> DataFrame:
     chars = F.aggregate(
         "queries", F.lit(0).cast("bigint"), lambda acc, q: acc + F.length(q["query_text"])
     )
-    embedded = finished.where("vectors is not null").select(
+    embedded = finished.where("n_vectors is not null").select(
         F.lit("embedding").alias("event_type"),
         "user_id",
         F.lit(params.embedding_model).alias("model_name"),
-        F.size("queries").cast("bigint").alias("num_texts"),
+        F.col("n_vectors").cast("bigint").alias("num_texts"),
         chars.alias("total_chars"),
         embedding_cost_usd(chars, F.lit(params.embedding_model), params.embedding_rates).alias(
             "estimated_cost_usd"

@@ -1,7 +1,6 @@
 import numpy as np
 import pytest
 
-from intentloom.functions import vectors as V
 from intentloom.operators import retrieval as R
 
 DIM = 8
@@ -178,11 +177,10 @@ def test_cut_then_unit_length(spark, data):
     assert checked["zero"] and not checked["short"]
 
 
-def test_norm_runs_once_per_vector(spark, data):
-    """The length must not sit inside the per-value lambda."""
-    df = table(spark, range(3), data[1][:3], "item_id").select(V.normalize("vector").alias("v"))
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("aggregate(") == 1
+def test_unit_length_of_null_and_empty_vectors(spark):
+    df = spark.createDataFrame([("a", None), ("b", []), ("c", [3.0, 4.0])], "id string, vector array<float>")
+    got = {r.id: r.vector for r in R.normalize_vectors(df).collect()}
+    assert got["a"] is None and got["b"] == [] and np.allclose(got["c"], [0.6, 0.8])
 
 
 @pytest.mark.parametrize(
