@@ -22,7 +22,9 @@ from intentloom.operators.models import (
     materialize,
 )
 from intentloom.params import SLOTS, TEMPLATES, JobParams
+from intentloom.sources import schemas
 from intentloom.sources.readers import missing_users, scan_users
+from intentloom.sources.schemas import require_columns
 
 
 @dataclass(frozen=True)
@@ -45,6 +47,9 @@ def refresh_all(
     templates: Mapping[str, str] = TEMPLATES,
 ) -> Refreshed:
     """``catalog`` is :func:`item_catalog`'s output; ``templates`` maps names to texts."""
+    require_columns(users, schemas.USERS, "users")
+    require_columns(events, schemas.EVENTS, "events")
+    require_columns(last20, schemas.LAST20, "last20")
     profiles = scan_users(users)
     features = user_features(profiles, events, catalog, last20, params)
     prompts = render_prompts(features, params, templates)

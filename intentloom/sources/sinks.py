@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from intentloom.operators.ledger import run_report
-from intentloom.sources.schemas import require_columns
 
 
 def validated(rows: DataFrame, schema: T.StructType, required: tuple[str, ...]) -> DataFrame:
@@ -80,14 +79,3 @@ def write_report(statuses: DataFrame, path: str, generated_at, total_time_sec: f
         ("slow", statuses.where("slow")),
     ):
         part.write.mode("overwrite").json(f"{path}/{name}")
-
-
-__all__ = [
-    "append_ledger",
-    "append_validated",
-    "bucket_of",
-    "require_columns",
-    "validated",
-    "write_bundles",
-    "write_report",
-]
