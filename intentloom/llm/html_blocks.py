@@ -15,6 +15,7 @@ import html
 import re
 from collections.abc import Iterator
 from functools import cache
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -38,21 +39,23 @@ _MARKS = frozenset(
 )
 _SPLIT = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[A-Z])")
 
-# The labelled table. words, link density, then those of the block before and the block after,
-# depth of articles around, marks around, and whether the block is main text.
-LABELLED = (
-    (1, 1.0, 0, 0.0, 1, 1.0, 0, 1, 0), (2, 1.0, 1, 1.0, 1, 1.0, 0, 1, 0), (1, 1.0, 2, 1.0, 8, 0.0, 0, 1, 0), (3, 1.0, 4, 1.0, 2, 1.0, 0, 0, 0),
-    (9, 0.0, 1, 1.0, 12, 0.0, 0, 1, 0), (25, 0.0, 1, 1.0, 10, 0.0, 0, 1, 0), (60, 0.1, 3, 1.0, 10, 0.0, 0, 1, 0), (7, 0.0, 80, 0.0, 0, 0.0, 0, 1, 0),
-    (12, 0.1, 120, 0.0, 0, 0.0, 0, 1, 0), (30, 0.0, 90, 0.0, 14, 0.0, 0, 1, 0), (14, 0.0, 30, 0.0, 22, 0.0, 1, 1, 0), (45, 0.0, 70, 0.0, 18, 0.0, 1, 1, 0),
-    (1, 0.0, 40, 0.0, 15, 0.0, 1, 1, 0), (5, 1.0, 60, 0.0, 4, 1.0, 1, 1, 0), (4, 0.9, 2, 1.0, 3, 1.0, 0, 0, 0), (6, 0.8, 5, 0.9, 2, 1.0, 0, 0, 0),
+# The labelled table outside articles and marks. words, link density, then those of the block
+# before and the block after, articles around, marks around, and whether the block is main text.
+OPEN = (
+    (4, 0.9, 2, 1.0, 3, 1.0, 0, 0, 0), (6, 0.8, 5, 0.9, 2, 1.0, 0, 0, 0), (3, 1.0, 4, 1.0, 2, 1.0, 0, 0, 0), (15, 0.6, 3, 1.0, 4, 1.0, 0, 0, 0),
     (2, 0.0, 3, 1.0, 2, 1.0, 0, 0, 0), (4, 0.0, 2, 1.0, 5, 1.0, 0, 0, 0), (3, 0.0, 0, 0.0, 4, 1.0, 0, 0, 0), (5, 0.0, 6, 0.0, 0, 0.0, 0, 0, 0),
-    (4, 0.0, 5, 1.0, 0, 0.0, 0, 0, 0), (15, 0.6, 3, 1.0, 4, 1.0, 0, 0, 0), (40, 0.7, 20, 0.6, 30, 0.8, 0, 0, 0), (3, 0.0, 4, 0.0, 3, 0.0, 0, 0, 0),
-    (10, 0.0, 8, 0.0, 60, 0.0, 1, 0, 1), (1, 0.0, 30, 0.0, 40, 0.0, 1, 0, 1), (2, 0.0, 9, 0.0, 3, 0.0, 1, 0, 1), (5, 0.0, 9, 0.0, 80, 0.0, 1, 0, 1),
-    (80, 0.0, 10, 0.0, 5, 0.0, 1, 0, 1), (120, 0.02, 60, 0.0, 7, 0.0, 1, 0, 1), (6, 1.0, 50, 0.0, 40, 0.0, 1, 0, 1), (1, 0.0, 9, 0.0, 12, 0.0, 1, 0, 1),
-    (3, 0.0, 70, 0.0, 7, 0.0, 1, 0, 1), (300, 0.0, 8, 0.0, 12, 0.1, 1, 0, 1), (40, 0.0, 50, 0.05, 60, 0.0, 0, 0, 1), (90, 0.05, 3, 1.0, 70, 0.0, 0, 0, 1),
-    (60, 0.0, 80, 0.0, 3, 1.0, 0, 0, 1), (25, 0.1, 40, 0.0, 50, 0.0, 0, 0, 1), (8, 0.0, 60, 0.0, 45, 0.0, 0, 0, 1), (12, 0.0, 2, 1.0, 90, 0.0, 0, 0, 1),
+    (4, 0.0, 5, 1.0, 0, 0.0, 0, 0, 0), (40, 0.7, 20, 0.6, 30, 0.8, 0, 0, 0), (90, 0.8, 60, 0.0, 30, 0.8, 0, 0, 0), (3, 0.0, 4, 0.0, 3, 0.0, 0, 0, 0),
+    (40, 0.0, 50, 0.05, 60, 0.0, 0, 0, 1), (90, 0.05, 3, 1.0, 70, 0.0, 0, 0, 1), (60, 0.0, 80, 0.0, 3, 1.0, 0, 0, 1), (25, 0.1, 40, 0.0, 50, 0.0, 0, 0, 1),
+    (8, 0.0, 60, 0.0, 45, 0.0, 0, 0, 1), (2, 0.0, 60, 0.0, 50, 0.0, 0, 0, 1), (4, 0.0, 2, 1.0, 60, 0.0, 0, 0, 1), (12, 0.0, 2, 1.0, 90, 0.0, 0, 0, 1),
     (200, 0.1, 4, 1.0, 2, 1.0, 0, 0, 1), (35, 0.0, 0, 0.0, 0, 0.0, 0, 0, 1), (10, 0.0, 50, 0.0, 100, 0.0, 0, 0, 1), (18, 0.2, 70, 0.0, 30, 0.0, 0, 0, 1),
 )
+#: Inside an article every length and neighbourhood is main text, inside marks none is.
+_SIZES = ((1, 0.0), (1, 1.0), (7, 0.0), (9, 1.0), (30, 0.0), (160, 0.0))
+LABELLED = OPEN + tuple(
+    (*own, *before, *after, article, mark, int(not mark))
+    for own, before, after in product(_SIZES, ((0, 0.0), (2, 1.0), (8, 0.0), (90, 0.0)), ((0, 0.0), (3, 1.0), (12, 0.0), (200, 0.0)))
+    for article, mark in ((1, 0), (0, 1), (1, 1))
+)
 
 
 def grow(rows: np.ndarray, least: int = 1, depth: int = 8):

@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from intentloom.llm import crf_language, line_spread, mixing
+from intentloom.llm import context_mixing, crf_language, divergence, html_blocks, line_spread, mixing, quotes, suffix_dedup
 from intentloom.llm.decontaminate import contaminated
 from intentloom.llm.jaccard_join import jaccard_groups
 from intentloom.llm.runtime import table
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2, F.lit(False))
@@ -20,6 +24,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crf_language.languages(docs, field).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op3_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.judge(table(spark, sf_dir, "documents"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = contaminated(docs, table(spark, sf_dir, "benchmark"))
@@ -30,6 +38,15 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_blocks.extract(table(spark, sf_dir, "pages"))
+
+
+def op6_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    learn = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(10)) != 0
+    return context_mixing.score(table(spark, sf_dir, "documents"), learn)
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_spread.remove_boilerplate(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return out.select("doc_id", "line_dedup.*", F.md5("text").alias("kept_md5"))
@@ -44,7 +61,15 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups(table(spark, sf_dir, "documents"))
 
 
+def op10_quote_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.link_quotes(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_language_id, op4_decontamination, op7_line_dedup, op8_mixing, op9_jaccard_join)
+    f.__name__: f
+    for f in (
+        op1_suffix_dedup, op2_language_id, op3_divergence, op4_decontamination, op5_html_extraction,
+        op6_context_mixing, op7_line_dedup, op8_mixing, op9_jaccard_join, op10_quote_linking,
+    )
 }
 ORACLES: dict[str, str] = {"op7_line_dedup": line_spread.oracle()}
