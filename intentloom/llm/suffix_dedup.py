@@ -15,7 +15,7 @@ strings meet at equal anchors, and anchors take about two places in a hundred.
    aggregated before and after the shuffle, so no group has to be in one task.
 
 Null and empty texts lose nothing. Matches never cross texts. Equal rows are copies of each other;
-rows are told apart by their place in a stored copy, not by doc_id, which may repeat. Texts of any
+rows are told apart by a hash of doc_id and text, as doc_id may repeat. Texts of any
 length are read whole. Other columns are unused.
 """
 
@@ -74,29 +74,57 @@ def _anchors(data: np.ndarray, at: np.ndarray, length: int, gram: int) -> tuple[
 
 
 def _anchor_rows(length: int, gram: int):
+    """Anchors of a batch, those that agree all around once, with their number (2 stands for more).
+
+    The places of the latter are known to be repeated: they go on as merged ranges with number 0,
+    dealt out by text, so a passage that fills a batch makes few rows.
+    """
+    w = length - gram + 1
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for row, _, data, at in kernel.chunks(batch.column(1), _LIMIT):
-                doc, place, h, wide = _anchors(data, at, length, gram)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h.view(np.int64)), pa.array(wide.view(np.int64)), pa.array(ids[row + doc]), pa.array(place.astype(np.int32))],
-                    names=["anchor", "around", "id", "place"],
-                )
+            found = [(row + d, p, h, x) for row, _, data, at in kernel.chunks(batch.column(1), _LIMIT) for d, p, h, x in [_anchors(data, at, length, gram)] if len(d)]
+            if not found:
+                continue
+            doc, place, h, wide = (np.concatenate(z) for z in zip(*found, strict=True))
+            order = np.lexsort((wide, h))
+            new = np.concatenate([[True], (h[order][1:] != h[order][:-1]) | (wide[order][1:] != wide[order][:-1])])
+            first = order[new]
+            count = np.diff(np.append(np.flatnonzero(new), len(order)))
+            again = np.zeros(len(order), bool)
+            again[order] = np.repeat(count > 1, count)
+            d, p = doc[again], place[again]  # in the order of texts and places
+            begin = np.maximum(p - (w - 1), 0)
+            open_ = np.concatenate([[True], (d[1:] != d[:-1]) | (begin[1:] > p[:-1] + length)]) if len(d) else np.zeros(0, bool)
+            close = np.concatenate([open_[1:], [True]]) if len(d) else open_
+            route = kernel.mix(ids[d[open_]].astype(np.int64).view(np.uint64))
+            yield _anchor_batch(h[first], h[first], wide[first], ids[doc[first]], place[first], place[first] + length, np.minimum(count, 2))
+            yield _anchor_batch(route, route, route, ids[d[open_]], begin[open_], p[close] + length, np.zeros(len(route), int))
 
     return run
 
 
-#: What is known of an anchor: every string repeated, to be sorted, to be aggregated.
-WHOLE, SORT, SPLIT = 0, 1, 2
+_ANCHOR = "route long, anchor long, around long, id long, place int, end int, n int"
+
+
+def _anchor_batch(route, anchor, around, ids, place, end, n) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [*(pa.array(x.view(np.int64)) for x in (route, anchor, around)), pa.array(ids.astype(np.int64)), *(pa.array(x.astype(np.int32)) for x in (place, end, n))],
+        names=["route", "anchor", "around", "id", "place", "end", "n"],
+    )
+
+
+#: What is known of an anchor: every string repeated, to be sorted, to be aggregated; and merged ranges.
+WHOLE, SORT, SPLIT, RANGE = 0, 1, 2, 3
 
 
 def _class_rows(most: int):
-    """Rows (kind, anchor, id, place) from rows sorted by (anchor, around); looks at neighbours only.
+    """Rows (kind, anchor, id, place, end) from rows sorted by (anchor, around); looks at neighbours only.
 
     Of the anchors that agree all around, the first and the last also go on, to meet those that agree in part.
     """
-    names = ("anchor", "id", "place")
+    names = ("anchor", "id", "place", "end")
 
     def out(kind, a, pick):
         return pa.RecordBatch.from_arrays([pa.array(np.full(len(pick), kind, np.int32)), *(pa.array(a[c][pick]) for c in names)], names=["kind", *names])
@@ -134,7 +162,7 @@ def _class_rows(most: int):
             prev_w = np.concatenate([[before[1] if before else 0], around[:-1]])
             up, down = prev_a == anchor, np.append(anchor[1:], ~anchor[-1]) == anchor
             same_up, same_down = up & (prev_w == around), down & (np.append(around[1:], 0) == around)
-            yield out(WHOLE, a, np.flatnonzero((same_up | same_down)[:n]))
+            yield out(WHOLE, a, np.flatnonzero((same_up | same_down | (a["n"] > 1))[:n]))
             pick = np.flatnonzero((up & ~same_up | down & ~same_down)[:n])
             if before is not None and n and anchor[0] != before[0]:
                 yield from close()
@@ -158,6 +186,12 @@ def _class_rows(most: int):
             if not batch.num_rows:
                 continue
             cols = {c: batch.column(i).to_numpy() for i, c in enumerate(batch.schema.names)}
+            ranges = cols["n"] == 0
+            if ranges.any():
+                yield out(RANGE, cols, np.flatnonzero(ranges))
+                cols = {c: x[~ranges] for c, x in cols.items()}
+                if ranges.all():
+                    continue
             if rest is not None:
                 cols = {c: np.concatenate([rest[c], cols[c]]) for c in cols}
             yield from judged(cols, len(cols["id"]) - 1)
@@ -170,7 +204,10 @@ def _class_rows(most: int):
 
 
 def _around_rows(length: int, gram: int):
-    """Bytes around the anchors to be sorted, and hashes of all strings around those to be split."""
+    """Bytes around the anchors to be sorted, and hashes of all strings around those to be split.
+
+    A string that a batch holds twice goes on once, with number 2, and its places as ranges.
+    """
     w = length - gram + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,11 +215,13 @@ def _around_rows(length: int, gram: int):
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             lists = batch.column(2)
             keys, seconds, owners, places, context = [], [], [], [], []
+            strings = []
             for row, last, data, at in kernel.chunks(batch.column(1), _LIMIT):
                 prefixes = None
                 for r in range(row, last):
                     begin, end = int(at[r - row]), int(at[r - row + 1])
                     text = data[begin:end].tobytes()
+                    starts = []
                     for x in lists[r].as_py():
                         p = x["place"]
                         if x["kind"] == SORT:
@@ -192,23 +231,39 @@ def _around_rows(length: int, gram: int):
                             places.append(p)
                             context.append(text[max(0, p - w + 1) : p + length])
                             continue
+                        starts.append(np.arange(max(0, p - w + 1), min(p, end - begin - length) + 1))
+                    if starts:  # neighbouring anchors share strings
+                        s = np.unique(np.concatenate(starts))
                         prefixes = prefixes or [kernel.prefix_hashes(data, i) for i in (0, 1)]
-                        s = np.arange(max(0, p - w + 1), min(p, end - begin - length) + 1)
-                        if len(s):
-                            one, two = (kernel.mix(kernel.span_hashes(prefixes[i], begin + s, begin + s + length, i)).view(np.int64) for i in (0, 1))
-                            keys += one.tolist()
-                            seconds += two.tolist()
-                            owners += [ids[r]] * len(s)
-                            places += s.tolist()
-                            context += [None] * len(s)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array(seconds, pa.int64()), pa.array(owners, pa.int64()), pa.array(places, pa.int32()), pa.array(context, pa.binary())],
-                names=["anchor", "second", "id", "place", "context"],
-            )
+                        one, two = (kernel.mix(kernel.span_hashes(prefixes[i], begin + s, begin + s + length, i)) for i in (0, 1))
+                        strings.append((one, two, np.full(len(s), ids[r]), s))
+            n = len(keys)
+            yield _around_batch(keys, seconds, owners, places, [x + length for x in places], [1] * n, context)
+            if strings:
+                one, two, owner, s = (np.concatenate(z) for z in zip(*strings, strict=True))
+                order = np.lexsort((two, one))
+                new = np.concatenate([[True], (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1])])
+                first, count = order[new], np.diff(np.append(np.flatnonzero(new), len(order)))
+                again = np.zeros(len(order), bool)
+                again[order] = np.repeat(count > 1, count)
+                d, q = owner[again], s[again]
+                start = np.concatenate([[True], (d[1:] != d[:-1]) | (q[1:] != q[:-1] + 1)]) if len(d) else np.zeros(0, bool)
+                stop = np.concatenate([start[1:], [True]]) if len(d) else start
+                yield _around_batch(one[first].view(np.int64), two[first].view(np.int64), owner[first], s[first], s[first] + length, np.minimum(count, 2), None)
+                yield _around_batch(d[start], d[start], d[start], q[start], q[stop] + length, np.zeros(int(start.sum()), int), None)
 
     return run
 
 
+_AROUND = "anchor long, second long, id long, place int, end int, n int, context binary"
+
+
+def _around_batch(keys, seconds, owners, places, ends, n, context) -> pa.RecordBatch:
+    columns = [*(pa.array(x, pa.int64()) for x in (keys, seconds, owners)), *(pa.array(x, pa.int64()).cast(pa.int32()) for x in (places, ends, n))]
+    columns.append(pa.array(context, pa.binary()) if context is not None else pa.nulls(len(keys), pa.binary()))
+    return pa.RecordBatch.from_arrays(columns, names=["anchor", "second", "id", "place", "end", "n", "context"])
+
+
 def extensions(prefix: np.ndarray, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
     """Common extension of the suffixes at a and b, by binary search over prefix hashes."""
     low, high = np.zeros(len(a), np.int64), most.astype(np.int64).copy()
@@ -389,37 +444,31 @@ def _cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, most: int = SORTED) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept): ``kept`` holds the bytes that are left."""
-    rows = stored(
-        docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"), F.monotonically_increasing_id().alias("id")), "texts"
-    )
+    text = F.coalesce(text_col, F.lit(""))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(F.col(id_col), text).alias("id"))
     spark = docs.sparkSession
     texts = rows.select("id", "text")
     n = partitions(spark)
     known = (
-        texts.mapInArrow(_anchor_rows(length, gram), "anchor long, around long, id long, place int")
-        .repartition(n, "anchor").sortWithinPartitions("anchor", "around")
-        .mapInArrow(_class_rows(most), "kind int, anchor long, id long, place int")
+        texts.mapInArrow(_anchor_rows(length, gram), _ANCHOR).repartition(n, "route").sortWithinPartitions("route", "around")
+        .mapInArrow(_class_rows(most), "kind int, anchor long, id long, place int, end int")
     )
     known = stored(known, "anchors")
-    open_ = known.where(F.col("kind") != WHOLE).groupBy("id").agg(F.collect_list(F.struct("kind", "anchor", "place")).alias("open"))
-    around = texts.join(open_, "id").select("id", "text", "open").mapInArrow(
-        _around_rows(length, gram), "anchor long, second long, id long, place int, context binary"
-    )
+    open_ = known.where(F.col("kind").isin(SORT, SPLIT)).groupBy("id").agg(F.collect_set(F.struct("kind", "anchor", "place")).alias("open"))
+    around = texts.join(open_, "id").select("id", "text", "open").mapInArrow(_around_rows(length, gram), _AROUND)
     around = stored(around, "around")
     by_sort = (
-        around.where("context is not null").repartition(n, "anchor").sortWithinPartitions("anchor")
+        around.where("context is not null").select("anchor", "second", "id", "place", "context").repartition(n, "anchor").sortWithinPartitions("anchor")
         .mapInArrow(_sorted_rows(length, gram), "id long, begin long, end long")
     )
-    strings = around.where("context is null").select("anchor", "second", "id", "place")
-    repeated = strings.groupBy("anchor", "second").agg(F.min("id").alias("a"), F.max("id").alias("b"), F.min("place").alias("p"), F.max("place").alias("q"))
-    repeated = repeated.where("a <> b or p <> q").select("anchor", "second")
-    by_count = strings.join(repeated, ["anchor", "second"], "left_semi").select(
-        "id", F.col("place").cast("long").alias("begin"), (F.col("place") + length).cast("long").alias("end")
-    )
-    whole = known.where(F.col("kind") == WHOLE).select(
-        "id", F.greatest(F.lit(0), F.col("place") - (length - gram)).cast("long").alias("begin"), (F.col("place") + length).cast("long").alias("end")
-    )
-    ranges = whole.union(by_sort).union(by_count).groupBy("id").agg(F.collect_list(F.struct("begin", "end")).alias("ranges"))
+    strings = around.where("context is null and n > 0").select("anchor", "second", "id", "place", "end", "n")
+    repeated = strings.groupBy("anchor", "second").agg(F.sum("n").alias("n")).where("n > 1").select("anchor", "second")
+    by_count = strings.join(repeated, ["anchor", "second"], "left_semi").select("id", F.col("place").alias("begin"), "end")
+    begin = F.when(F.col("kind") == RANGE, F.col("place")).otherwise(F.greatest(F.lit(0), F.col("place") - (length - gram)))
+    whole = known.where(F.col("kind").isin(WHOLE, RANGE)).select("id", begin.alias("begin"), "end")
+    ranges = whole.union(around.where("n = 0").select("id", F.col("place").alias("begin"), "end")).union(by_count)
+    ranges = ranges.select("id", F.col("begin").cast("long"), F.col("end").cast("long")).union(by_sort)
+    ranges = ranges.groupBy("id").agg(F.collect_list(F.struct("begin", "end")).alias("ranges"))
     size = F.octet_length("text").cast("long")
     cut = rows.join(ranges, "id", "left").select(
         "doc_id", "text", F.transform("ranges", lambda r: F.struct(r["begin"].alias("begin"), F.least(r["end"], size).alias("end"))).alias("ranges")
