@@ -122,8 +122,9 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     bins = _histogram()
     sums = rows.where("lang is not null and chars > 0").groupBy("lang").agg(*(F.sum(b).alias(f"q{i}") for i, b in enumerate(bins)))
     all_q = sum((F.col(f"q{i}") for i in range(1, len(bins))), F.col("q0"))
-    # a row for each language: the table of references
-    refs = F.broadcast(sums.select(F.col("lang").alias("ref"), *((F.col(f"q{i}") / all_q).alias(f"q{i}") for i in range(len(bins)))))
+    known = sums.select("lang", *((F.col(f"q{i}") / all_q).alias(f"q{i}") for i in range(len(bins)))).orderBy("lang").collect()  # a row for each language
+    kind = f"array<struct<ref:string,{','.join(f'q{i}:double' for i in range(len(bins)))}>>"
+    refs = F.array(*(F.struct(*(F.lit(x) for x in r)) for r in known)).cast(kind)
 
     words = docs.select("doc_id", "lang", F.explode(F.split(F.lower(F.col("text")), SPACE)).alias("word")).where("word <> ''")
     counts = words.where("lang is not null").groupBy("lang", "word").count()
@@ -145,8 +146,8 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     p = [F.when(F.col("chars") > 0, b / F.col("chars")).otherwise(0.0) for b in bins]
     char = _distance(sum((_divergence(p[i], F.col(f"q{i}")) for i in range(1, len(bins))), _divergence(p[0], F.col("q0"))))
     near = (
-        rows.select("doc_id", "chars", "word_chars", "upper", "digit", "mark", "n_symbols").distinct().crossJoin(refs)  # languages are few
-        .select("doc_id", "ref", char.alias("char_distance"))
+        rows.select("doc_id", "chars", "word_chars", "upper", "digit", "mark", "n_symbols").distinct()
+        .select("*", F.inline(refs)).select("doc_id", "ref", char.alias("char_distance"))
         .join(per, (F.col("doc_id").eqNullSafe(F.col("k.doc_id"))) & (F.col("ref") == F.col("k.ref")), "left")
         .select("doc_id", "ref", "char_distance", F.coalesce("word_distance", F.lit(1.0)).alias("word_distance"))
         .groupBy("doc_id").agg(F.min_by(F.struct("ref", "char_distance", "word_distance"), F.struct(F.col("word_distance") + F.col("char_distance"), "ref")).alias("near"))
