@@ -254,10 +254,14 @@ def _tokens_of(k: int):
     return run
 
 
-def _compared(docs: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
-    """(x, y, inter, nx, ny) of the pairs, from the whole sets of the documents in them."""
-    ids = pairs.select(F.explode(F.array("x", "y")).alias("doc_id")).distinct()
-    sets = docs.join(ids, "doc_id", "left_semi").mapInArrow(_tokens_of(k), "doc_id long, tokens array<long>")
+def _listed_sets(docs: DataFrame, lists: DataFrame, k: int) -> DataFrame:
+    """(doc_id, tokens): the whole sets of all documents in a pair or a long list."""
+    ids = lists.select(F.explode(F.array("x", "y")).alias("doc_id")).distinct()
+    return docs.join(ids, "doc_id", "left_semi").mapInArrow(_tokens_of(k), "doc_id long, tokens array<long>")
+
+
+def _compared(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(x, y, inter, nx, ny) of the pairs, from whole sets."""
     x = sets.select(F.col("doc_id").alias("x"), F.col("tokens").alias("tx"))
     y = sets.select(F.col("doc_id").alias("y"), F.col("tokens").alias("ty"))
     both = pairs.join(y, "y").join(x, "x")
@@ -281,13 +285,14 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
     lists = stored(lists, "lists")
     pairs = lists.where("token is null").select("x", "y").distinct()
-    first = stored(_compared(docs, pairs, k), "compared")
+    sets = stored(_listed_sets(docs, lists, k), "tokens")
+    first = stored(_compared(sets, pairs), "compared")
     linked = F.expr(f"100L * inter >= {threshold}L * (nx + ny - inter)")
     links = first.where(linked).select("x", "y")
     groups = stored(components(links, "x", "y"), "groups")
-    for most in (8, None):
+    for most in (1, None):
         rest = _rest(lists, first, groups, threshold, most, partitions(spark)).distinct().join(first, ["x", "y"], "left_anti")
-        more = stored(_compared(docs, stored(rest, "rest"), k), "compared")
+        more = stored(_compared(sets, stored(rest, "rest")), "compared")
         first = first.union(more)
         found = more.where(linked).select("x", "y")
         if not found.isEmpty():
