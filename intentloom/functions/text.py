@@ -112,16 +112,24 @@ def parse_interests(c: Column | str) -> Column:
 
 
 def parse_list_column(c: Column | str) -> Column:
-    """A list literal (either quote style, list or tuple) to array<string>; else empty."""
+    """A list literal (either quote style, list or tuple) to array<string>; else empty.
+
+    A comma after the last entry and ``\\xNN`` escapes are read, and ``None`` entries are dropped.
+    """
     raw = strip(col(c))
     square = F.when(
         raw.startswith("(") & raw.endswith(")"),
         F.concat(F.lit("["), F.substring(raw, F.lit(2), F.length(raw) - 2), F.lit("]")),
     ).otherwise(raw)
+    square = F.regexp_replace(square, r",\s*\]$", "]")
+    square = F.regexp_replace(square, r"\\x([0-9a-fA-F]{2})", r"\\u00$1")
     options = {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"}
-    return F.coalesce(
-        F.from_json(square, "array<string>", options), F.array().cast("array<string>")
+    # only a literal that JSON can't read has a bare None
+    nulls = F.regexp_replace(square, r"(?<=[\[,])\s*None\s*(?=[,\]])", "null")
+    parsed = F.coalesce(
+        F.from_json(square, "array<string>", options), F.from_json(nulls, "array<string>", options)
     )
+    return F.coalesce(F.filter(parsed, lambda x: x.isNotNull()), F.array().cast("array<string>"))
 
 
 def parse_ts(c: Column | str) -> Column:

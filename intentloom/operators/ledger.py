@@ -83,7 +83,7 @@ def ledger_union(*records: DataFrame) -> DataFrame:
 
 
 def slow_calls(calls: DataFrame, limit_s: float = SLOW_CALL_S) -> DataFrame:
-    return calls.where(F.col("latency_s") > limit_s)
+    return calls.where((F.col("latency_s") > limit_s) & ~F.isnan("latency_s"))
 
 
 def run_report(statuses: DataFrame, generated_at: datetime, total_time_sec: float) -> DataFrame:

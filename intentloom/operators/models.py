@@ -14,6 +14,7 @@ batch that raises is halved until only the texts that fail alone are left out.
 from __future__ import annotations
 
 import tempfile
+import math
 import time
 import uuid
 from collections.abc import Callable, Iterator
@@ -54,24 +55,56 @@ _EMBEDDED = T.StructType().add("vectors", T.ArrayType(_VECTOR)).add("error", T.S
 def _int(value: object) -> int | None:
     try:
         return int(value)  # type: ignore[call-overload]
+    except (TypeError, ValueError, OverflowError):
+        return None
+
+
+def _seconds(value: object) -> float | None:
+    """A finite number of seconds, else null."""
+    try:
+        seconds = float(value)  # type: ignore[arg-type]
     except (TypeError, ValueError):
         return None
+    return seconds if math.isfinite(seconds) else None
+
+
+def _reply_text(told: Any) -> str:
+    """The text of a reply; raises where it has none that can be stored."""
+    text = told.get("text") if isinstance(told, dict) else None
+    if not isinstance(text, str):
+        raise ValueError(f"bad_reply: text is {type(text).__name__}")
+    text.encode("utf-8")
+    return text
+
+
+#: After so many single failures in a row with one and the same error a batch's other texts get that error uncalled.
+OUTAGE = 8
 
 
-def _each(call: Callable[[list[str]], list], texts: list[str]) -> list[tuple[Any, str | None]]:
+def _each(
+    call: Callable[[list[str]], list], texts: list[str], failed: list[str] | None = None
+) -> list[tuple[Any, str | None]]:
     """(result, error) per text, with failures narrowed down to single texts."""
+    failed = [] if failed is None else failed
     if not texts:
         return []
+    if len(failed) >= OUTAGE:
+        return [(None, failed[-1])] * len(texts)
     try:
         made = call(texts)
         if len(made) != len(texts):
             raise ValueError(f"{len(made)} results for {len(texts)} texts")
+        failed.clear()
         return [(result, None) for result in made]
     except Exception as failure:  # noqa: BLE001 - whatever an injected call raises
         if len(texts) == 1:
-            return [(None, f"{type(failure).__name__}: {failure}")]
+            error = f"{type(failure).__name__}: {failure}"
+            if failed and failed[-1] != error:
+                failed.clear()
+            failed.append(error)
+            return [(None, error)]
         half = len(texts) // 2
-        return _each(call, texts[:half]) + _each(call, texts[half:])
+        return _each(call, texts[:half], failed) + _each(call, texts[half:], failed)
 
 
 def _ask(call: Callable[[pd.Series], Any], prompts: list[str]) -> list[dict]:
@@ -101,16 +134,21 @@ def generate(prompt: Column | str, factory: Factory, retry_limit: int) -> Column
                     rows[i]["error"] = error
                     if error is not None:
                         continue  # only unreadable answers are asked again
-                    rows[i]["raw"] = told["text"]
+                    try:
+                        text = _reply_text(told)
+                    except ValueError as odd:
+                        rows[i]["error"] = str(odd)
+                        continue
+                    rows[i]["raw"] = text
                     rows[i]["calls"].append(
                         {
                             "attempt": attempt,
                             "input_tokens": _int(told.get("input_tokens")),
                             "output_tokens": _int(told.get("output_tokens")),
-                            "latency_s": float(told["latency_s"]),
+                            "latency_s": _seconds(told.get("latency_s")),
                         }
                     )
-                    if resolve([told["text"]], told["text"])[0] is None:
+                    if resolve([text], text)[0] is None:
                         again.append(i)
                 todo = again
             yield pa.array(rows, _ARROW_GENERATED)
@@ -138,7 +176,13 @@ def _vectors(
     """(unit vectors cut to ``dim``, errors) of a batch; a failed text has an empty vector."""
     rows, errors = [], []
     for vector, error in _each(lambda some: list(call(pd.Series(some, dtype=object))), texts):
-        row = np.zeros(0, np.float32) if error else np.asarray(vector, dtype=np.float32)[:dim]
+        try:
+            whole = np.zeros(0, np.float32) if error else np.asarray(vector, dtype=np.float32).reshape(-1)
+            if not np.isfinite(whole).all():
+                raise ValueError("a vector must be finite")
+            row = whole[:dim]
+        except (TypeError, ValueError):
+            row, error = np.zeros(0, np.float32), "bad_vector"
         if not error and len(row) < dim:
             row, error = row[:0], f"embedding dim below {dim}"
         rows.append(row)

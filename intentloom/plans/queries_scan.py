@@ -178,8 +178,8 @@ _LISTS = (
 
 @query(
     "select p_partkey, case p_partkey % 6 when 0 then p_brand || ', ' || p_type "
-    "when 1 then p_brand || ', ' || p_type when 2 then p_name else '' end as joined, "
-    "cast(case p_partkey % 6 when 0 then 2 when 1 then 2 when 2 then 1 else 0 end as bigint) "
+    "when 1 then p_brand || ', ' || p_type when 2 then p_name when 3 then p_name else '' end as joined, "
+    "cast(case p_partkey % 6 when 0 then 2 when 1 then 2 when 2 then 1 when 3 then 1 else 0 end as bigint) "
     "as n from part"
 )
 def parse_list_column(spark: SparkSession, sf: str) -> DataFrame:

@@ -34,6 +34,7 @@ class Refreshed:
     bundles: DataFrame  # user_id, status, error, metadata, queries, embeddings
     statuses: DataFrame  # user_id, status, error, slow, llm_s
     ledger: DataFrame  # one row per model call, of both kinds
+    interactions: DataFrame  # user_id, record: every interaction of every known user
 
 
 def refresh_all(
@@ -78,7 +79,7 @@ def refresh_all(
     )
     bundles = build_bundle(finished)
 
-    call_s = F.aggregate("calls", F.lit(0.0), lambda acc, c: acc + c["latency_s"])
+    call_s = F.aggregate("calls", F.lit(0.0), lambda acc, c: acc + F.coalesce(c["latency_s"], F.lit(0.0)))
     too_few = F.coalesce("n_vectors", F.lit(0)) < SLOTS
     failure = F.coalesce("error", F.when(too_few, F.lit("bad_query_count")))
     statuses = finished.select(
@@ -89,7 +90,13 @@ def refresh_all(
         call_s.alias("llm_s"),
         F.col("metadata.template").alias("template"),
     )
-    return Refreshed(bundles, statuses, _ledger(finished, params))
+    return Refreshed(bundles, statuses, _ledger(finished, params), interactions(profiles, events))
+
+
+def interactions(profiles: DataFrame, events: DataFrame) -> DataFrame:
+    """One row per interaction of a known user, as a record; no size of a user changes their shape."""
+    record = F.struct(*[c for c in events.columns if c != "user_id"])
+    return events.select("user_id", record.alias("record")).join(profiles.select("user_id"), "user_id", "left_semi")
 
 
 def _ledger(finished: DataFrame, params: JobParams) -> DataFrame:
@@ -151,4 +158,5 @@ def refresh_selected(
             unknown.withColumn("slow", F.lit(False)), allowMissingColumns=True
         ),
         done.ledger,
+        done.interactions,
     )

@@ -199,3 +199,27 @@ def test_params_are_clamped():
     assert (p.history_threshold, p.recent_k, p.feed_text_max_chars, p.retry_limit) == (1, 10, 0, 0)
     with pytest.raises(ValueError):
         JobParams(output_dim=0)
+
+
+def test_odd_replies_and_vectors_are_errors_of_their_rows(spark):
+    from intentloom.operators import models
+
+    assert models._seconds(None) is None and models._seconds(float("nan")) is None and models._int(float("inf")) is None
+    for odd in ({"text": float("nan")}, {"text": {}}, {}, "x", {"text": "\ud800"}):
+        with pytest.raises(ValueError):
+            models._reply_text(odd)
+    _, errors = models._vectors(lambda texts: [[1.0, 2.0], None, [float("nan"), 1.0], "x"], ["a", "b", "c", "d"], 2)
+    assert errors == [None, "bad_vector", "bad_vector", "bad_vector"]
+
+
+def test_an_outage_stops_the_halving():
+    from intentloom.operators import models
+
+    calls = []
+
+    def down(texts):
+        calls.append(len(texts))
+        raise RuntimeError("down")
+
+    made = models._each(down, [str(i) for i in range(1000)])
+    assert len(made) == 1000 and {e for _, e in made} == {"RuntimeError: down"} and len(calls) < 40

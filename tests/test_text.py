@@ -113,7 +113,12 @@ def test_interests(spark):
         ("('a', 'b')", ["a", "b"]),
         ('["x"]', ["x"]),
         ("[]", []),
-        ("['a', None]", []),
+        ("['a', None]", ["a"]),
+        ("[None, 'b', None, 'c']", ["b", "c"]),
+        ("('a',)", ["a"]),
+        ("['a','b',]", ["a", "b"]),
+        ("['a\\xa0b']", ["a\xa0b"]),
+        ("['None']", ["None"]),
         ("['a'", []),
         ("junk", []),
         ("", []),
