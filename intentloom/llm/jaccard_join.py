@@ -243,27 +243,64 @@ def _rest_rows(threshold: int, most: int | None):
     return run
 
 
+def _bitmap(tokens: np.ndarray) -> bytes:
+    """Parities of the tokens by hash, in two to four bits a token: half of a bitmap folds onto the other."""
+    bits = np.zeros(max(64, 2 << int(len(tokens)).bit_length()), np.uint8)
+    places, counts = np.unique((tokens >> np.uint64(20)) & np.uint64(len(bits) - 1), return_counts=True)
+    bits[places] = counts & 1
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def _differing(a: bytes, b: bytes) -> int:
+    """A lower bound of the tokens in one of two sets only: each flips at most one parity."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def _tokens_of(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, tokens in _sets(batch.column(1), k):
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(row, 1), pa.array([tokens.view(np.int64)], pa.list_(pa.int64()))], names=["doc_id", "tokens"]
+                    [batch.column(0).slice(row, 1), pa.array([tokens.view(np.int64)], pa.list_(pa.int64())), pa.array([_bitmap(tokens)])],
+                    names=["doc_id", "tokens", "bits"],
                 )
 
     return run
 
 
+def _possible(threshold: int):
+    """The pairs whose bitmaps leave room for a link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nx, ny = (batch.column(i).to_pylist() for i in (2, 3))
+            bx, by = (batch.column(i).to_pylist() for i in (4, 5))
+            keep = [2 * _need(m, n, threshold) <= m + n - _differing(a, b) for m, n, a, b in zip(nx, ny, bx, by, strict=True)]
+            yield batch.select(["x", "y"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
 def _listed_sets(docs: DataFrame, lists: DataFrame, k: int) -> DataFrame:
     """(doc_id, tokens): the whole sets of all documents in a pair or a long list."""
     ids = lists.select(F.explode(F.array("x", "y")).alias("doc_id")).distinct()
-    return docs.join(ids, "doc_id", "left_semi").mapInArrow(_tokens_of(k), "doc_id long, tokens array<long>")
+    return docs.join(ids, "doc_id", "left_semi").mapInArrow(_tokens_of(k), "doc_id long, tokens array<long>, bits binary")
 
 
-def _compared(sets: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(x, y, inter, nx, ny) of the pairs, from whole sets."""
+def _compared(sets: DataFrame, pairs: DataFrame, threshold: int) -> DataFrame:
+    """(x, y, inter, nx, ny) of the pairs, from whole sets; first their small bitmaps rule out most of those that can't link."""
+    small = sets.select("doc_id", F.size("tokens").alias("n"), "bits")
+    ends = pairs.join(small.toDF("y", "ny", "by"), "y").join(small.toDF("x", "nx", "bx"), "x").select("x", "y", "nx", "ny", "bx", "by")
+    pairs = stored(ends.mapInArrow(_possible(threshold), "x long, y long"), "possible")
     x = sets.select(F.col("doc_id").alias("x"), F.col("tokens").alias("tx"))
     y = sets.select(F.col("doc_id").alias("y"), F.col("tokens").alias("ty"))
+    # only sets of pairs that are left move
+    x, y = x.join(pairs.select("x").distinct(), "x", "left_semi"), y.join(pairs.select("y").distinct(), "y", "left_semi")
     both = pairs.join(y, "y").join(x, "x")
     return both.select("x", "y", F.size(F.array_intersect("tx", "ty")).alias("inter"), F.size("tx").alias("nx"), F.size("ty").alias("ny"))
 
@@ -286,13 +323,13 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     lists = stored(lists, "lists")
     pairs = lists.where("token is null").select("x", "y").distinct()
     sets = stored(_listed_sets(docs, lists, k), "tokens")
-    first = stored(_compared(sets, pairs), "compared")
+    first = stored(_compared(sets, pairs, threshold), "compared")
     linked = F.expr(f"100L * inter >= {threshold}L * (nx + ny - inter)")
     links = first.where(linked).select("x", "y")
     groups = stored(components(links, "x", "y"), "groups")
     for most in (1, None):
         rest = _rest(lists, first, groups, threshold, most, partitions(spark)).distinct().join(first, ["x", "y"], "left_anti")
-        more = stored(_compared(sets, stored(rest, "rest")), "compared")
+        more = stored(_compared(sets, stored(rest, "rest"), threshold), "compared")
         first = first.union(more)
         found = more.where(linked).select("x", "y")
         if not found.isEmpty():
