@@ -64,23 +64,24 @@ def _set_rows(k: int):
             keep = count >= max(3, held // FREQUENT)
             n = int(keep.sum())
             return pa.RecordBatch.from_arrays(
-                [pa.nulls(n, pa.int64()), pa.array(count[keep].astype(np.int64)), pa.array(token[keep].view(np.int64)), pa.nulls(n, pa.binary())],
-                names=["doc_id", "n", "token", "key"],
+                [pa.nulls(n, pa.int64()), pa.array(count[keep].astype(np.int64)), pa.array(token[keep].view(np.int64)), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())],
+                names=["doc_id", "n", "token", "key", "bits"],
             )
 
         for batch in batches:
-            sizes, keys = np.zeros(batch.num_rows, np.int64), []
+            sizes, keys, bits = np.zeros(batch.num_rows, np.int64), [], []
             for row, tokens in _sets(batch.column(1), k):
                 sizes[row] = len(tokens)
                 keys.append(hashlib.blake2b(tokens.tobytes(), digest_size=16).digest() if len(tokens) else None)
+                bits.append(_bitmap(tokens))
                 seen.append(tokens)
                 held += len(tokens)
                 if held >= _FLUSH:
                     yield frequent()
                     seen, held = [], 0
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes), pa.nulls(batch.num_rows, pa.int64()), pa.array(keys, pa.binary())],
-                names=["doc_id", "n", "token", "key"],
+                [batch.column(0), pa.array(sizes), pa.nulls(batch.num_rows, pa.int64()), pa.array(keys, pa.binary()), pa.array(bits, pa.binary())],
+                names=["doc_id", "n", "token", "key", "bits"],
             )
         if seen:
             yield frequent()
@@ -244,8 +245,8 @@ def _rest_rows(threshold: int, most: int | None):
 
 
 def _bitmap(tokens: np.ndarray) -> bytes:
-    """Parities of the tokens by hash, in two to four bits a token: half of a bitmap folds onto the other."""
-    bits = np.zeros(max(64, 2 << int(len(tokens)).bit_length()), np.uint8)
+    """Parities of the tokens by hash, in one or two bits a token: half of a bitmap folds onto the other."""
+    bits = np.zeros(max(64, 1 << int(len(tokens)).bit_length()), np.uint8)
     places, counts = np.unique((tokens >> np.uint64(20)) & np.uint64(len(bits) - 1), return_counts=True)
     bits[places] = counts & 1
     return np.packbits(bits, bitorder="little").tobytes()
@@ -266,8 +267,8 @@ def _tokens_of(k: int):
         for batch in batches:
             for row, tokens in _sets(batch.column(1), k):
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(row, 1), pa.array([tokens.view(np.int64)], pa.list_(pa.int64())), pa.array([_bitmap(tokens)])],
-                    names=["doc_id", "tokens", "bits"],
+                    [batch.column(0).slice(row, 1), pa.array([tokens.view(np.int64)], pa.list_(pa.int64()))],
+                    names=["doc_id", "tokens"],
                 )
 
     return run
@@ -286,21 +287,25 @@ def _possible(threshold: int):
     return run
 
 
-def _listed_sets(docs: DataFrame, lists: DataFrame, k: int) -> DataFrame:
-    """(doc_id, tokens): the whole sets of all documents in a pair or a long list."""
-    ids = lists.select(F.explode(F.array("x", "y")).alias("doc_id")).distinct()
-    return docs.join(ids, "doc_id", "left_semi").mapInArrow(_tokens_of(k), "doc_id long, tokens array<long>, bits binary")
+def _possible_pairs(rows: DataFrame, pairs: DataFrame, threshold: int) -> DataFrame:
+    """The pairs that the small bitmaps of their sets don't rule out; no whole set moves."""
+    small = rows.where("key is not null").select("doc_id", "n", "bits")
+    ends = pairs.join(small.toDF("y", "ny", "by"), "y").join(small.toDF("x", "nx", "bx"), "x").select("x", "y", "nx", "ny", "bx", "by")
+    return stored(ends.mapInArrow(_possible(threshold), "x long, y long").distinct(), "possible")
 
 
-def _compared(sets: DataFrame, pairs: DataFrame, threshold: int) -> DataFrame:
-    """(x, y, inter, nx, ny) of the pairs, from whole sets; first their small bitmaps rule out most of those that can't link."""
-    small = sets.select("doc_id", F.size("tokens").alias("n"), "bits")
-    ends = pairs.join(small.toDF("y", "ny", "by"), "y").join(small.toDF("x", "nx", "bx"), "x").select("x", "y", "nx", "ny", "bx", "by")
-    pairs = stored(ends.mapInArrow(_possible(threshold), "x long, y long"), "possible")
+def _sets_of(docs: DataFrame, pairs: DataFrame, have: DataFrame | None, k: int) -> DataFrame:
+    """(doc_id, tokens) of the documents of the pairs: those at hand and the others."""
+    ids = pairs.select(F.explode(F.array("x", "y")).alias("doc_id")).distinct()
+    ids = stored(ids if have is None else ids.join(have, "doc_id", "left_anti"), "ids")
+    more = stored(docs.join(ids, "doc_id", "left_semi").mapInArrow(_tokens_of(k), "doc_id long, tokens array<long>"), "tokens")
+    return more if have is None else have.union(more)
+
+
+def _compared(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(x, y, inter, nx, ny) of the pairs, from whole sets."""
     x = sets.select(F.col("doc_id").alias("x"), F.col("tokens").alias("tx"))
     y = sets.select(F.col("doc_id").alias("y"), F.col("tokens").alias("ty"))
-    # only sets of pairs that are left move
-    x, y = x.join(pairs.select("x").distinct(), "x", "left_semi"), y.join(pairs.select("y").distinct(), "y", "left_semi")
     both = pairs.join(y, "y").join(x, "x")
     return both.select("x", "y", F.size(F.array_intersect("tx", "ty")).alias("inter"), F.size("tx").alias("nx"), F.size("ty").alias("ny"))
 
@@ -309,7 +314,7 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """(doc_id, n_shingles, component_id): groups of documents linked by a Jaccard similarity of ``threshold`` % or more."""
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     spark = docs.sparkSession
-    rows = stored(docs.mapInArrow(_set_rows(k), "doc_id long, n long, token long, key binary"), "sets")
+    rows = stored(docs.mapInArrow(_set_rows(k), "doc_id long, n long, token long, key binary, bits binary"), "sets")
     common = (
         rows.where("token is not null").groupBy("token").agg(F.sum("n").alias("n"))
         .orderBy(F.desc("n"), "token").limit(FREQUENT).select("token").toPandas()["token"]
@@ -322,14 +327,17 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
     lists = stored(lists, "lists")
     pairs = lists.where("token is null").select("x", "y").distinct()
-    sets = stored(_listed_sets(docs, lists, k), "tokens")
-    first = stored(_compared(sets, pairs, threshold), "compared")
+    pairs = _possible_pairs(rows, pairs, threshold)
+    sets = _sets_of(docs, pairs, None, k)
+    first = stored(_compared(sets, pairs), "compared")
     linked = F.expr(f"100L * inter >= {threshold}L * (nx + ny - inter)")
     links = first.where(linked).select("x", "y")
     groups = stored(components(links, "x", "y"), "groups")
     for most in (1, None):
         rest = _rest(lists, first, groups, threshold, most, partitions(spark)).distinct().join(first, ["x", "y"], "left_anti")
-        more = stored(_compared(sets, stored(rest, "rest"), threshold), "compared")
+        pairs = _possible_pairs(rows, rest, threshold)
+        sets = _sets_of(docs, pairs, sets, k)
+        more = stored(_compared(sets, pairs), "compared")
         first = first.union(more)
         found = more.where(linked).select("x", "y")
         if not found.isEmpty():
