@@ -63,6 +63,24 @@ class Features:
         self.letters = letter
 
 
+class Sample:
+    """The features of all words of a column, built chunk by chunk and kept in 32 bits: the sample lies on the driver."""
+
+    def __init__(self, column: pa.Array):
+        first, parts, words = [np.zeros(1, np.int64)], [], 0
+        for _, _, data, at in kernel.chunks(column):
+            f = Features(data, at)
+            first.append(f.first[1:] + words)
+            words += len(f.start)
+            if len(f.start):
+                parts.append([x.astype(np.int32) for x in (f.grams, np.diff(np.append(f.gram_at, len(f.grams))), f.head, f.tail, f.word)])
+        self.first = np.concatenate(first)
+        self.grams, self.count, self.head, self.tail, self.word = (
+            (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, np.int32) for _ in range(5))
+        )
+        self.gram_at = np.cumsum(self.count, dtype=np.int64) - self.count
+
+
 class Field:
     """Weights of the field."""
 
@@ -134,9 +152,8 @@ def fit(texts: list[str], langs: list[str], epochs: int = 4, seed: int = 0) -> F
     if len(labels) < 2:
         return field
     rng = np.random.default_rng(seed)
-    data, at = kernel.bytes_of(pa.array(texts, pa.large_string()))
-    f = Features(data, at)
-    if not len(f.start):
+    f = Sample(pa.array(texts, pa.large_string()))
+    if not len(f.word):
         return field
     gold = np.repeat([labels.index(x) for x in langs], np.diff(f.first))
     n, k = len(gold), len(labels)
@@ -147,20 +164,20 @@ def fit(texts: list[str], langs: list[str], epochs: int = 4, seed: int = 0) -> F
         p += size
     sums = [np.full(w.shape, 1e-3, np.float32) for w in field.w]
     move_sum = np.full((k, k), 1e-3, np.float32)
-    count = np.diff(np.append(f.gram_at, len(f.grams)))
     for _ in range(epochs):
         order = np.concatenate([pieces[i] for i in rng.permutation(len(pieces))])
         order = order[: len(order) // _BLOCK * _BLOCK] if len(order) >= _BLOCK else order
         runs = order.reshape(-1, min(_BLOCK, len(order)))
         for s in range(0, len(runs), 256):
-            _step(field, f, gold, runs[s : s + 256], count, sums, move_sum)
+            _step(field, f, gold, runs[s : s + 256], sums, move_sum)
     return field
 
 
-def _step(field: Field, f: Features, gold: np.ndarray, runs: np.ndarray, count: np.ndarray, sums: list, move_sum: np.ndarray) -> None:
+def _step(field: Field, f: Sample, gold: np.ndarray, runs: np.ndarray, sums: list, move_sum: np.ndarray) -> None:
     k, flat = len(field.labels), runs.ravel()
-    grams = np.repeat(f.gram_at[flat], count[flat]) + np.arange(count[flat].sum()) - np.repeat(np.cumsum(count[flat]) - count[flat], count[flat])
-    gram_at = np.concatenate([[0], np.cumsum(count[flat])[:-1]])
+    count = f.count[flat]
+    gram_at = np.cumsum(count, dtype=np.int64) - count
+    grams = np.repeat(f.gram_at[flat] - gram_at, count) + np.arange(count.sum())
     g, h, t, x = field.w
     score = np.add.reduceat(g[f.grams[grams]], gram_at, axis=0) + h[f.head[flat]] + t[f.tail[flat]] + x[f.word[flat]]
     e = np.exp(score - score.max(1, keepdims=True)).reshape(*runs.shape, k) + 1e-12
@@ -186,7 +203,7 @@ def _step(field: Field, f: Features, gold: np.ndarray, runs: np.ndarray, count:
     grad[np.arange(len(flat)), y.ravel()] += 1
     np.add.at(pair_gold := np.zeros((k, k)), (y[:, :-1].ravel(), y[:, 1:].ravel()), 1)
     n = len(flat)
-    spread = np.repeat(grad, count[flat], axis=0)
+    spread = np.repeat(grad, count, axis=0)
     for w, total, at, part in ((g, sums[0], f.grams[grams], spread), (h, sums[1], f.head[flat], grad), (t, sums[2], f.tail[flat], grad), (x, sums[3], f.word[flat], grad)):
         step = np.stack([np.bincount(at, part[:, j], len(w)) for j in range(k)], 1).astype(np.float32) / n * 100
         total += step * step
