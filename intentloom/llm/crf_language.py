@@ -64,7 +64,7 @@ class Features:
 
 
 class Sample:
-    """The features of all words of a column, built chunk by chunk and kept in 32 bits: the sample lies on the driver."""
+    """The features of all words of a column, built chunk by chunk and kept in 32 bits: the sample lies in one task."""
 
     def __init__(self, column: pa.Array):
         first, parts, words = [np.zeros(1, np.int64)], [], 0
@@ -213,18 +213,43 @@ def _step(field: Field, f: Sample, gold: np.ndarray, runs: np.ndarray, sums: lis
     field.move += 0.2 * step / np.sqrt(move_sum)
 
 
+def _fit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row with the labels and weights fitted on all rows (text, language) of the task; none without rows."""
+    texts: list[str] = []
+    langs: list[str] = []
+    for batch in batches:
+        texts += batch.column(0).to_pylist()
+        langs += batch.column(1).to_pylist()
+    if texts:
+        field = fit(texts, langs)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([field.labels]), pa.array([[x.tobytes() for x in (*field.w, field.move)]], pa.list_(pa.binary()))], names=["labels", "weights"]
+        )
+
+
 def learned(docs: DataFrame, doc_id: Column, text: Column, lang: Column, learn: Column) -> Field | None:
-    """Fit on a bounded sample of the rows for which ``learn`` holds."""
+    """Fit on a bounded sample of the rows for which ``learn`` holds, in one task; only the weights reach the driver."""
     rows = docs.select(doc_id.alias("i"), text.alias("t"), lang.alias("l"), learn.alias("go")).where("go and l is not null and t is not null")
+    rows = rows.where(F.octet_length("t") <= SAMPLE_BYTES)
     first = W.partitionBy("l").orderBy(F.xxhash64("i"), "i")
     ids = (
-        rows.where(F.octet_length("t") <= SAMPLE_BYTES).select("i", "l").withColumn("r", F.row_number().over(first))
-        .where(F.col("r") <= PER_LANG).select("i").toPandas()["i"].tolist()
+        rows.select("i", "l").withColumn("r", F.row_number().over(first))
+        .where(F.col("r") <= PER_LANG).select("i").distinct().toPandas()["i"].tolist()
     )
     if not ids:
         return None
-    sample = rows.where(F.col("i").isin(ids) & (F.octet_length("t") <= SAMPLE_BYTES)).orderBy("i", "t", "l").toPandas()
-    return fit(sample["t"].tolist(), sample["l"].tolist())
+    again = W.partitionBy("l").orderBy(F.xxhash64("i"), "i", "t")  # rows of one id may be many
+    sample = rows.where(F.col("i").isin(ids)).withColumn("r", F.row_number().over(again)).where(F.col("r") <= PER_LANG)
+    sample = sample.repartition(1).sortWithinPartitions("i", "t", "l").select("t", "l")
+    found = sample.mapInArrow(_fit_rows, "labels array<string>, weights array<binary>").first()
+    if found is None:
+        return None
+    field = Field(found["labels"])
+    field.w, field.move = (
+        [np.frombuffer(x, np.float32).reshape(old.shape).copy() for x, old in zip(found["weights"], field.w, strict=False)],
+        np.frombuffer(found["weights"][-1], np.float32).reshape(field.move.shape).copy(),
+    )
+    return field
 
 
 def _labelled(field: Field | None, column: pa.Array) -> tuple[list[str], np.ndarray]:
