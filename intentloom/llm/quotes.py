@@ -5,12 +5,15 @@ that level form passages (blank lines and lines of other levels part them); pass
 lower-cased and with single spaces, by hash. A quoted passage links to the latest earlier
 message of its conversation that has it among its own passages, else to the first message of any
 other conversation that has it. The message that most passages of the lowest quoted level link to
-is the one replied to. Messages then come in reply order: each thread by its root, in it by depth
-and turn, with the quotes taken out.
-
-Links are found by windows over (conversation, hash) and by one row for each hash, so a
-passage that everybody quotes makes no pairs. Null texts count as empty; a null turn sorts first and is
-replied to by nobody. Repeated rows of one (conversation, turn) stay, with one and the same link. Ties go to
+is the one replied to. Where no passage of that level links, its parts vote: the lines of passages of
+several lines, and sentences, also those broken over lines. Own passages are hashed in the same parts, so a quoted
+line or sentence of a longer passage finds it. Messages then come in reply order: each thread by its
+root, in it by depth and turn, with the quotes taken out.
+
+Own hashes that nobody quotes go first. Links are found by windows over (conversation, hash) and by the least message of the two smallest
+conversations of each hash that has no link within its own, so a passage that everybody quotes makes no
+pairs. Null texts count as empty. A null conversation or turn is replied to by nobody; a null turn sorts
+first. Repeated rows of one (conversation, turn) stay, with one and the same link. Ties go to
 the latest turn, then the smallest conversation. Other columns are unused.
 """
 
@@ -36,8 +39,23 @@ def own_text(text: Column) -> Column:
     return F.btrim(F.array_join(F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: ~F.rlike(x, F.lit(QUOTE))), "\n"), F.lit(" \t\r\n"))
 
 
+def _plain(part: Column) -> Column:
+    return F.btrim(F.lower(F.regexp_replace(part, r"[\x20\x09-\x0D]+", " ")))
+
+
+def _pieces(part: Column, plain: Column) -> Column:
+    """(text, whole) of a passage, then of its lines and of the sentences in these and across them, if less than all."""
+    end = r"(?<=[.!?;:]) "
+    lines = F.when(F.contains(part, F.lit("\n")), F.transform(F.split(part, "\n"), _plain)).otherwise(F.array().cast("array<string>"))
+    parts = F.concat(lines, F.flatten(F.transform(lines, lambda x: F.split(x, end))), F.split(plain, end))
+    return F.concat(
+        F.array(F.struct(plain.alias("text"), F.lit(True).alias("whole"))),
+        F.transform(F.array_except(parts, F.array(plain)), lambda x: F.struct(x.alias("text"), F.lit(False).alias("whole"))),
+    )
+
+
 def passages(messages: DataFrame) -> DataFrame:
-    """(conv_id, turn, level, a, b): hashes of every passage; level 0 holds a message's own."""
+    """(conv_id, turn, level, whole, a, b): hashes of every passage and its parts; level 0 holds a message's own."""
     lines = F.transform(
         F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: F.struct(_level(x).alias("level"), F.regexp_replace(x, QUOTE, "").alias("body"))
     )
@@ -46,22 +64,32 @@ def passages(messages: DataFrame) -> DataFrame:
     level = F.col("level")
     body = F.array_join(F.transform("lines", lambda x: F.when(x["level"] == level, x["body"]).otherwise("")), "\n")
     parts = levels.select(*KEY, "level", F.explode(F.split(body, r"\n[ \t\r]*\n")).alias("part"))
-    plain = parts.select(*KEY, "level", F.btrim(F.lower(F.regexp_replace("part", r"[\x20\x09-\x0D]+", " "))).alias("part")).where("part <> ''")
-    return plain.select(*KEY, "level", F.xxhash64("part").alias("a"), F.hash("part").alias("b"))
+    pieces = parts.select(*KEY, "level", "part", _plain(F.col("part")).alias("plain")).where("plain <> ''")
+    pieces = pieces.select(*KEY, "level", F.explode(_pieces(F.col("part"), F.col("plain"))).alias("piece")).where("piece.text <> ''")
+    return pieces.select(*KEY, "level", "piece.whole", F.xxhash64("piece.text").alias("a"), F.hash("piece.text").alias("b"))
 
 
 def links(found: DataFrame) -> DataFrame:
     """(conv_id, turn, to_conv, to_turn) of each message with a quote that has an original."""
     here = W.partitionBy("conv_id", "a", "b").orderBy("turn").rangeBetween(W.unboundedPreceding, -1)
-    before = F.max(F.when(F.col("level") == 0, F.col("turn"))).over(here)
+    before = F.max(F.when((F.col("level") == 0) & F.col("conv_id").isNotNull(), F.col("turn"))).over(here)
     local = found.withColumn("to_turn", before).where("level > 0").distinct()
-    first = found.where("level = 0").groupBy("a", "b").agg(F.min(F.struct("conv_id", "turn")).alias("first"))
-    wide = local.where("to_turn is null").join(first, ["a", "b"]).where("first.conv_id <> conv_id")
-    both = local.where("to_turn is not null").select(*KEY, "level", F.col("conv_id").alias("to_conv"), "to_turn").union(
-        wide.select(*KEY, "level", F.col("first.conv_id").alias("to_conv"), F.col("first.turn").alias("to_turn"))
+    lost = local.where("to_turn is null")
+    own = found.where("level = 0 and conv_id is not null and turn is not null").join(lost.select("a", "b").distinct(), ["a", "b"], "left_semi")
+    least = own.groupBy("a", "b", "conv_id").agg(F.min("turn").alias("turn"))
+    least = least.withColumn("n", F.row_number().over(W.partitionBy("a", "b").orderBy("conv_id"))).where("n <= 2")
+    message = F.struct("conv_id", "turn")
+    least = least.groupBy("a", "b").agg(F.min(message).alias("first"), F.max(message).alias("second"))  # one and the same if there is one
+    other = F.when(F.col("conv_id").eqNullSafe(F.col("first.conv_id")), F.col("second")).otherwise(F.col("first"))
+    wide = lost.join(least, ["a", "b"]).withColumn("other", other).where("not (other.conv_id <=> conv_id)")
+    both = local.where("to_turn is not null").select(*KEY, "level", "whole", F.col("conv_id").alias("to_conv"), "to_turn").union(
+        wide.select(*KEY, "level", "whole", F.col("other.conv_id").alias("to_conv"), F.col("other.turn").alias("to_turn"))
+    )
+    votes = both.groupBy(*KEY, "level", "to_conv", "to_turn").agg(F.count_if("whole").alias("wholes"), F.count("*").alias("all"))
+    rank = F.struct(
+        -F.col("level"), F.col("wholes"), F.when(F.col("wholes") == 0, F.col("all")).otherwise(0),
+        F.col("to_conv").eqNullSafe(F.col("conv_id")).cast("int"), F.col("to_turn"), -F.col("to_conv"),
     )
-    votes = both.groupBy(*KEY, "level", "to_conv", "to_turn").count()
-    rank = F.struct(-F.col("level"), F.col("count"), (F.col("to_conv") == F.col("conv_id")).cast("int"), F.col("to_turn"), -F.col("to_conv"))
     return votes.groupBy(*KEY).agg(F.max_by(F.struct("to_conv", "to_turn"), rank).alias("to")).select(*KEY, "to.to_conv", "to.to_turn")
 
 
@@ -83,7 +111,10 @@ def link_quotes(conversations: DataFrame, conv_col: str = "conv_id", turn_col: s
     messages = conversations.select(
         F.col(conv_col).cast("long").alias("conv_id"), F.col(turn_col).cast("long").alias("turn"), F.col(role_col).alias("role"), F.col(text_col).alias("text")
     )
-    found = stored(passages(messages), "passages")
+    quoted = F.rlike(F.coalesce("text", F.lit("")), F.lit("(?m)" + QUOTE))
+    quotes = stored(passages(messages.where(quoted)).where("level > 0"), "quotes")
+    own = passages(messages).where("level = 0").join(quotes.select("a", "b").distinct(), ["a", "b"], "left_semi")
+    found = stored(quotes.unionByName(own), "passages")
     replies = stored(links(found), "replies")
     at = threads(replies).select(F.struct(*KEY, "root_turn", "depth").alias("h"))
     to = replies.select(F.struct("*").alias("r"))

@@ -241,6 +241,22 @@ def test_quotes(spark):
     assert at[2, 1].reply_to_conv is None and at[3, None].reply_to_conv is None
 
 
+def test_quotes_link_past_own_and_null_conversations_and_by_parts(spark):
+    rows = [
+        (1, 0, "user", "> shared words\nreply"), (1, 1, "user", "shared words"), (2, 0, "user", "shared words"), (3, 0, "user", "shared words"),
+        (None, 0, "user", "null thread"), (5, None, "user", "null thread"), (6, 2, "user", "null thread"), (7, 0, "user", "> null thread\nok"),
+        (8, 0, "user", "A first line.\nAnother one here. And a sentence after it."), (8, 1, "user", "> another one here.\nYes."),
+        (8, 2, "user", "> A first line.\n> And a sentence after it.\n> not said\nNo."), (9, 0, "user", "> and a sentence after it.\nSure."),
+        (None, 1, "user", "> null thread\nsame"), (8, 3, "user", "> Another one\n> here.\nOnce more."), (8, 4, "user", "> another one here. and a sentence\nAgain."),
+    ]
+    got = quotes.link_quotes(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    to = {(r.conv_id, r.turn): (r.reply_to_conv, r.reply_to_turn) for r in got}
+    assert len(got) == len(rows)
+    assert to[1, 0] == (2, 0) and to[7, 0] == (6, 2) and to[None, 1] == (6, 2)
+    assert to[8, 1] == (8, 0) and to[8, 2] == (8, 0) and to[9, 0] == (8, 0)
+    assert to[8, 3] == (8, 0) and to[8, 4] == (8, 0)
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
