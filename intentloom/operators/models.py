@@ -8,7 +8,10 @@ built once and used for all batches of that task.
 * embedder: ``Series[str] -> sequence of vectors``.
 
 A batch is an Arrow batch (``spark.sql.execution.arrow.maxRecordsPerBatch`` rows). A
-batch that raises is halved until only the texts that fail alone are left out.
+batch that raises is halved until only the texts that fail alone are left out. Where
+single texts go on failing and so do others spread over the batch, it is an outage: the
+rest has the error ``not_called``, which says that a later pass has to call these rows;
+the generator's own attempts do so while there are any left.
 """
 
 from __future__ import annotations
@@ -77,34 +80,64 @@ def _reply_text(told: Any) -> str:
     return text
 
 
-#: After so many single failures in a row with one and the same error a batch's other texts get that error uncalled.
+#: After so many single failures in a row with one and the same error as many texts spread over the rest are tried; only
+#: if these fail with it too are the others left uncalled.
 OUTAGE = 8
+NOT_CALLED = "not_called"
 
 
-def _each(
-    call: Callable[[list[str]], list], texts: list[str], failed: list[str] | None = None
-) -> list[tuple[Any, str | None]]:
-    """(result, error) per text, with failures narrowed down to single texts."""
-    failed = [] if failed is None else failed
-    if not texts:
-        return []
-    if len(failed) >= OUTAGE:
-        return [(None, failed[-1])] * len(texts)
-    try:
-        made = call(texts)
-        if len(made) != len(texts):
-            raise ValueError(f"{len(made)} results for {len(texts)} texts")
-        failed.clear()
-        return [(result, None) for result in made]
-    except Exception as failure:  # noqa: BLE001 - whatever an injected call raises
-        if len(texts) == 1:
+def _each(call: Callable[[list[str]], list], texts: list[str], uncalled: set[int] | None = None) -> list[tuple[Any, str | None]]:
+    """(result, error) per text, with failures narrowed down to single texts. ``uncalled`` takes the places of
+    texts that an outage left uncalled; they bear its error."""
+    made: dict[int, tuple[Any, str | None]] = {}
+    failed: list[str] = []
+
+    def tried(at: list[int]) -> bool:
+        """Whether the call went through or ended at a single text."""
+        try:
+            results = call([texts[i] for i in at])
+            if len(results) != len(at):
+                raise ValueError(f"{len(results)} results for {len(at)} texts")
+            made.update((i, (result, None)) for i, result in zip(at, results, strict=True))
+            failed.clear()
+        except Exception as failure:  # noqa: BLE001 - whatever an injected call raises
+            if len(at) > 1:
+                return False
             error = f"{type(failure).__name__}: {failure}"
             if failed and failed[-1] != error:
                 failed.clear()
             failed.append(error)
-            return [(None, error)]
-        half = len(texts) // 2
-        return _each(call, texts[:half], failed) + _each(call, texts[half:], failed)
+            made[at[0]] = (None, error)
+        return True
+
+    todo = [list(range(len(texts)))]
+    while todo:
+        at = [i for i in todo.pop() if i not in made]
+        if not at:
+            continue
+        if not tried(at):
+            half = len(at) // 2
+            todo += [at[half:], at[:half]]
+        if len(failed) < OUTAGE:
+            continue
+        rest = sorted({i for some in todo for i in some} - made.keys())
+        error = failed[-1]
+        down = True
+        for k in range(min(OUTAGE, len(rest))):
+            tried([rest[(2 * k + 1) * len(rest) // (2 * min(OUTAGE, len(rest)))]])
+            if not failed or failed[-1] != error:
+                down = False
+                break
+        if not down:
+            failed.clear()
+            continue
+        for i in rest:
+            if i not in made:
+                made[i] = (None, error)
+                if uncalled is not None:
+                    uncalled.add(i)
+        break
+    return [made[i] for i in range(len(texts))]
 
 
 def _ask(call: Callable[[pd.Series], Any], prompts: list[str]) -> list[dict]:
@@ -117,8 +150,8 @@ def _ask(call: Callable[[pd.Series], Any], prompts: list[str]) -> list[dict]:
 
 
 def generate(prompt: Column | str, factory: Factory, retry_limit: int) -> Column:
-    """Call the generator; rows whose answer holds no JSON object are asked again,
-    up to ``retry_limit`` more times. Every attempt is listed in ``calls``."""
+    """Call the generator; rows whose answer holds no JSON object, and rows
+    that an outage left uncalled, are asked again, up to ``retry_limit`` more times. Every attempt is listed in ``calls``."""
 
     @F.arrow_udf(_GENERATED)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -129,11 +162,15 @@ def generate(prompt: Column | str, factory: Factory, retry_limit: int) -> Column
             todo = [i for i, p in enumerate(prompts) if p is not None]
             for attempt in range(1, retry_limit + 2):
                 again = []
-                replies = _each(lambda some: _ask(call, some), [prompts[i] for i in todo])
-                for i, (told, error) in zip(todo, replies, strict=True):
+                uncalled: set[int] = set()
+                replies = _each(lambda some: _ask(call, some), [prompts[i] for i in todo], uncalled)
+                for at, (i, (told, error)) in enumerate(zip(todo, replies, strict=True)):
+                    if at in uncalled:
+                        error = f"{NOT_CALLED}: {error}"
+                        again.append(i)
                     rows[i]["error"] = error
                     if error is not None:
-                        continue  # only unreadable answers are asked again
+                        continue  # only unreadable answers and uncalled rows are asked again
                     try:
                         text = _reply_text(told)
                     except ValueError as odd:
@@ -175,7 +212,10 @@ def _vectors(
 ) -> tuple[pa.Array, list[str | None]]:
     """(unit vectors cut to ``dim``, errors) of a batch; a failed text has an empty vector."""
     rows, errors = [], []
-    for vector, error in _each(lambda some: list(call(pd.Series(some, dtype=object))), texts):
+    uncalled: set[int] = set()
+    for at, (vector, error) in enumerate(_each(lambda some: list(call(pd.Series(some, dtype=object))), texts, uncalled)):
+        if at in uncalled:
+            error = f"{NOT_CALLED}: {error}"
         try:
             whole = np.zeros(0, np.float32) if error else np.asarray(vector, dtype=np.float32).reshape(-1)
             if not np.isfinite(whole).all():

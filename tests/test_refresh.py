@@ -223,3 +223,32 @@ def test_an_outage_stops_the_halving():
 
     made = models._each(down, [str(i) for i in range(1000)])
     assert len(made) == 1000 and {e for _, e in made} == {"RuntimeError: down"} and len(calls) < 40
+
+
+def test_a_cluster_of_bad_texts_is_no_outage():
+    from intentloom.operators import models
+
+    def filtered(texts):
+        if any(t.startswith("bad") for t in texts):
+            raise RuntimeError("filtered")
+        return list(texts)
+
+    texts = [*("bad" for _ in range(40)), *(f"ok {i}" for i in range(960))]
+    made = models._each(filtered, texts)
+    assert [e for _, e in made] == ["RuntimeError: filtered"] * 40 + [None] * 960
+    assert [r for r, _ in made[40:]] == texts[40:]
+
+
+def test_an_outage_marks_uncalled_rows():
+    from intentloom.operators import models
+
+    asked = set()
+
+    def down(texts):
+        asked.update(texts if len(texts) == 1 else [])
+        raise RuntimeError("down")
+
+    texts = [str(i) for i in range(1000)]
+    _, errors = models._vectors(down, texts, 2)
+    assert {t for t, e in zip(texts, errors, strict=True) if e == "RuntimeError: down"} == asked and len(asked) == 16
+    assert errors.count("not_called: RuntimeError: down") == 984
