@@ -213,6 +213,25 @@ def test_context_mixing_is_a_distribution():
     assert total == pytest.approx(1, abs=1e-4)
 
 
+def test_contexts_keep_counts_of_their_own(spark):
+    r = random.Random(5)
+    texts = ["".join(r.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=3000)) for _ in range(40)]
+    rows = frame(spark, texts).select(F.col("doc_id").alias("id"), "doc_id", (F.col("doc_id") % 4 != 0).alias("learn"), "text")
+    true = collections.defaultdict(collections.Counter)
+    for i, t in enumerate(texts):
+        text = np.append(np.frombuffer(t.encode(), np.uint8), np.uint8(0))
+        for key, byte in zip(context_mixing.contexts(text).T, text, strict=True):
+            for k in key:
+                true[int(k)][int(byte)] += i % 4 != 0
+    assert len(true) > sum((1 << 12, 1 << 15, 1 << 17)) // 2
+    seen = collections.defaultdict(dict)
+    found = context_mixing.gathered(rows, 4096)[0].where("key is not null").collect()
+    for x in found:
+        seen[x.key] = dict(zip(x.seen, np.frombuffer(x.n, np.float32), strict=True))
+    assert len({x.block for x in found}) > 10
+    assert seen == {k: {b: n for b, n in c.items() if n} for k, c in true.items() if c.total()}
+
+
 def test_mixing_meets_targets(spark):
     texts = [*("good word here " * 20 for _ in range(30)), *("poor junk stuff " * 10 for _ in range(10)), None, "", "unseen"]
     docs = frame(spark, texts)
