@@ -15,7 +15,8 @@ tokens. Three relations between sets keep the work down:
 Tokens that fill many lists come last in the order of a set, so they are hardly ever listed.
 
 Nulls, empty texts: an empty set, linked with nothing. Fewer words than k: one shorter shingle.
-Ties and repeated rows: equal sets share the smallest id. Other columns are ignored.
+Ties and repeated rows: equal sets share the smallest id. Other columns are ignored. A null id can name no
+end of a link: such a row stays with its count, in the component of the documents of an equal set, else of none (null).
 """
 
 from __future__ import annotations
@@ -321,7 +322,7 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
     frequent = common.to_numpy(np.int64).view(np.uint64)
     lists = (
-        docs.mapInArrow(_prefix_rows(k, threshold, frequent), "token long, size int, pos int, sid long, doc_id long")
+        docs.where("doc_id is not null").mapInArrow(_prefix_rows(k, threshold, frequent), "token long, size int, pos int, sid long, doc_id long")
         .repartition(partitions(spark), "token").sortWithinPartitions("token", "size", "sid", "doc_id")
         .mapInArrow(_list_rows(threshold), "x long, y long, token long, size int, pos int")
     )

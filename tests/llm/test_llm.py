@@ -108,6 +108,15 @@ def test_jaccard_groups(spark, odd):
     assert got == {i: (len(sets[i]), find(i)) for i in range(len(odd))}
 
 
+def test_jaccard_null_ids(spark):
+    text = prose(1, 60)
+    rows = [(None, text), (4, text), (3, text + " end"), (None, prose(2, 60)), (None, None), (9, prose(3, 60))]
+    got = [tuple(r) for r in jaccard_groups(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()]
+    assert len(got) == len(rows)
+    assert {(d, c) for d, _, c in got if d is not None} == {(3, 3), (4, 3), (9, 9)}
+    assert sorted(((n, c) for d, n, c in got if d is None), key=str) == [(0, None), (56, 3), (56, None)]
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(0, 40)] + [(100, i) for i in range(101, 130)] + [(7, 7)]
     got = dict(components(spark.createDataFrame(links, "a long, b long")).collect())
