@@ -2,8 +2,9 @@
 
 Word n-grams that a document shares with a benchmark item are seeds. Seeds on one diagonal, checked
 word by word, make maximal matches. The longest match whose words are still free is marked as a
-tile, what tiles leave of other matches is matched again by the running Karp-Rabin hash at its own
-length, and so on down to the shortest match. A document whose tiles cover enough of an item's
+tile, what tiles leave of other matches goes back into the heap at its own length, and so on down to
+the shortest match. No rolling hash is run again at each length, as Karp-Rabin tiling does: every match
+of a length is a part of one maximal match on its diagonal, so the heap holds all it would find. A document whose tiles cover enough of an item's
 words holds that item, also where passages come in another order.
 
 Benchmarks are taken in blocks of a bounded size, one pass over the documents for each, so what a
