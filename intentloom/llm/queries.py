@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from intentloom.llm import context_mixing, crf_language, divergence, html_blocks, line_spread, mixing, quotes, suffix_dedup
+from intentloom.llm import context_mixing, crf_language, divergence, html_blocks, line_spread, mixing, phrases, prefix_trie, quotes, suffix_dedup, virtual_slots
 from intentloom.llm.decontaminate import contaminated
 from intentloom.llm.jaccard_join import jaccard_groups
-from intentloom.llm.runtime import table
+from intentloom.llm.runtime import stored, table
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,11 +65,30 @@ def op10_quote_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotes.link_quotes(table(spark, sf_dir, "conversations"))
 
 
+def op11_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return virtual_slots.deal(docs, shards=24).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "virtual_slot")
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = stored(prefix_trie.turns(table(spark, sf_dir, "conversations")), "numbered")
+    heads = F.crc32(F.col("c").cast("string")) % 4
+    rows, members = prefix_trie.rebuilt(turns, heads, F.col("c") - F.col("c") % 20)
+    return prefix_trie.prefix_trie(rows, members)
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_suffix_dedup, op2_language_id, op3_divergence, op4_decontamination, op5_html_extraction,
         op6_context_mixing, op7_line_dedup, op8_mixing, op9_jaccard_join, op10_quote_linking,
+        op11_virtual_slots, op12_prefix_trie, op13_collocations,
     )
 }
-ORACLES: dict[str, str] = {"op7_line_dedup": line_spread.oracle()}
+ORACLES: dict[str, str] = {
+    "op7_line_dedup": line_spread.oracle(), "op12_prefix_trie": prefix_trie.oracle(), "op13_collocations": phrases.oracle(),
+}
