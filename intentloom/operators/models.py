@@ -293,11 +293,16 @@ def materialize(df: DataFrame) -> DataFrame:
     only the columns it needs.
     """
     spark = df.sparkSession
-    path = f"{_checkpoint_dir(spark).rstrip('/')}/intentloom-{uuid.uuid4().hex}"
+    path = new_folder(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def new_folder(spark: SparkSession) -> str:
+    """A folder of its own among the tables that a job stores on the way."""
+    return f"{_checkpoint_dir(spark).rstrip('/')}/intentloom-{uuid.uuid4().hex}"
+
+
 def _checkpoint_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:

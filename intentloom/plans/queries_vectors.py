@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from intentloom.functions.offline_models import hashing_embedder
-from intentloom.operators import models, retrieval as R
+from intentloom.operators import models, recommend as RC, retrieval as R, vector_index as VI
 from intentloom.plans.registry import query
 from intentloom.sources import standins as V
 
@@ -173,3 +173,85 @@ def embed_texts(spark: SparkSession, sf: str) -> DataFrame:
     place = F.transform("vector", lambda x, i: x.cast("double") * (i + 1))
     total = F.aggregate(place, F.lit(0.0), lambda acc, x: acc + x)
     return made.select("doc_id", F.size("vector").alias("dim"), F.round(total, 3).alias("checksum"))
+
+
+# small blocks, so that every size of the tables has several cells and some to skip
+INDEX_BLOCK_BYTES = 16 << 10
+
+
+@query(
+    "with s as (select cast(a.vec_id as string) as query_id, cast(b.vec_id as string) as item_id, "
+    "round(list_dot_product(a.embedding::double[], b.embedding::double[]), 6) as score "
+    "from embeddings a join embeddings b on a.vec_id <> b.vec_id) "
+    "select query_id, rank, item_id, score from (select *, row_number() over "
+    f"(partition by query_id order by score desc, item_id) as rank from s) where rank <= {K}"
+)
+def index_search(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = V.vectors(spark, sf)
+    index = VI.write_index(vectors, models.new_folder(spark), DIM, block_bytes=INDEX_BLOCK_BYTES)
+    itself = vectors.select(F.col("item_id").alias("query_id"), "item_id")
+    found = VI.search(index, vectors.withColumnRenamed("item_id", "query_id"), K, exclude=itself)
+    return found.withColumn("rank", F.col("rank").cast("bigint"))
+
+
+@query(
+    f"with {_RAGGED_SQL} select cast(vec_id as string) as item_id, case when len(vector) = {DIM} then 'indexed' "
+    f"else 'size is not {DIM}: ' || len(vector) end as state, "
+    f"case when len(vector) = {DIM} then {_checksum_sql('vector')} else 0 end as checksum, 'document' as task from ragged"
+)
+def vector_table(spark: SparkSession, sf: str) -> DataFrame:
+    ragged = _ragged(spark, sf).select(F.col("vec_id").cast("string").alias("item_id"), "vector")
+    path = models.new_folder(spark)
+    index = VI.write_index(ragged, path, DIM, block_bytes=INDEX_BLOCK_BYTES)
+    stored = spark.read.parquet(f"{path}/vectors").select("item_id", F.lit("indexed").alias("state"), _checksum().alias("checksum"), "task")
+    rejected = index.rejected.select("item_id", F.col("reason").alias("state"), F.lit(0.0).alias("checksum"), F.lit(VI.DOCUMENT).alias("task"))
+    return stored.union(rejected)
+
+
+# customers have the vectors 5 c .. 5 c + 4; some are short, some weights missing, and customer 7 has seen all
+_SHORT = "(u % 9 = 3 or vec_id % 11 = 4)"
+_NO_WEIGHT = "(u % 9 = 5 or vec_id % 13 = 6)"
+_REC_SLOTS = (
+    "select cast(u as string) as user_id, slot, case when {no_weight} then null else {weight} end as weight, "
+    "case when {short} then {cut} else embedding end as vector from "
+    "(select *, cast(floor(vec_id / 5) as bigint) as u, cast(vec_id % 5 + 1 as int) as slot from embeddings)"
+)
+
+
+def _rec_slots(cut: str) -> str:
+    return _REC_SLOTS.format(no_weight=_NO_WEIGHT, weight=f"cast({_WEIGHT} as double)", short=_SHORT, cut=cut)
+
+
+@query(
+    V.with_views("items", "catalog")
+    + f", slots as ({_rec_slots('embedding[1:20]')}), "
+    "users as (select distinct cast(vec_id as string) as user_id from embeddings where vec_id < 150), "
+    "seen as (select distinct cast(u as string) as user_id, cast(v as string) as item_id from "
+    "(select 7 as u, vec_id as v from embeddings union all select vec_id % 150, vec_id from embeddings)), "
+    "s as (select user_id, cast(b.vec_id as string) as item_id, round(max(weight * "
+    "list_dot_product(vector::double[], b.embedding::double[])), 6) as score from slots join users using (user_id), "
+    f"embeddings b where len(vector) = {DIM} and weight is not null group by all), "
+    "r as (select *, row_number() over (partition by user_id order by score desc, item_id) as rank from s anti join seen using (user_id, item_id)), "
+    "state as (select user_id, bool_or(len(vector) = 64) as ok, bool_or(len(vector) = 64 and weight is not null) as w, "
+    "arg_min(len(vector), slot) as size from slots group by user_id) "
+    "select u.user_id, coalesce(rank, 0) as rank, coalesce(r.item_id, '') as item_id, coalesce(score, 0) as score, "
+    "coalesce(title, '') as title, coalesce(feed_text, '') as feed_text, coalesce(views, -1) as views, coalesce(created_at, '') as created_at, "
+    "'vector_search' as source, case when rank is not null then '' when ok is null then 'no_queries' "
+    "when not ok then 'bad_vectors: size is not 64: ' || size when not w then 'bad_weights' else 'all_seen' end as reason "
+    f"from users u left join (select * from r where rank <= {K}) r using (user_id) left join state using (user_id) "
+    "left join catalog on catalog.item_id = r.item_id"
+)
+def recommend(spark: SparkSession, sf: str) -> DataFrame:
+    embeddings = V.table(spark, sf, "embeddings")
+    slots = spark.sql(_rec_slots("slice(embedding, 1, 20)").replace("from embeddings", "from {e}"), e=embeddings)
+    users = embeddings.where("vec_id < 150").selectExpr("cast(vec_id as string) as user_id")
+    seen = embeddings.selectExpr("cast(7 as bigint) as u", "vec_id as v").union(embeddings.selectExpr("vec_id % 150", "vec_id"))
+    seen = seen.selectExpr("cast(u as string) as user_id", "cast(v as string) as item_id").distinct()
+    records = RC.recommend(users, slots, V.vectors(spark, sf), V.catalog(spark, sf), K, DIM, seen=seen)
+    rows = RC.recommendation_rows(records)
+    item = {"title": "", "feed_text": "", "views": -1, "created_at": ""}
+    return rows.select(
+        "user_id", F.coalesce(F.col("rank").cast("bigint"), F.lit(0)).alias("rank"), F.coalesce("item_id", F.lit("")).alias("item_id"),
+        F.coalesce("score", F.lit(0.0)).alias("score"), *[F.coalesce(f"metadata.{c}", F.lit(v)).alias(c) for c, v in item.items()],
+        "source", F.coalesce("reason", F.lit("")).alias("reason"),
+    )

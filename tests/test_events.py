@@ -185,7 +185,7 @@ def test_history_needs_events_and_a_last20_row(spark, events, catalog):
     features = C.user_features(people, events, catalog, last20, JobParams(recent_k=2))
     got = {r.user_id: r.history_text for r in C.history_summary(features, 30).collect()}
     assert got["u1"] == (
-        "User activity in last 30 days. Posts interacted: p, q. Tags: . Categories: . "
+        "User activity in last 30 days. Posts interacted: p, q. Tags: t. Categories: . "
         "Search keywords: . Recent feeds:  , Title A."
     )
     assert got["u2"] == "" and got["u9"] == ""
