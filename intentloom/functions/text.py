@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import ast
+import json
+import warnings
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from intentloom.params import DEFAULT_LANGUAGE, LANGUAGES
 
@@ -111,25 +117,37 @@ def parse_interests(c: Column | str) -> Column:
     return F.transform(non_blank_parts(c, ";"), strip)
 
 
+def _entries(literal: str) -> list[str]:
+    """The entries of one list literal in either notation; what is neither has none."""
+    value = None
+    for read in (ast.literal_eval, json.loads):
+        try:
+            value = read(literal)
+            break
+        except (ValueError, SyntaxError, TypeError, MemoryError, RecursionError):
+            continue
+    if not isinstance(value, list | tuple):
+        return []
+    # escaped halves of surrogate pairs become one character, or a mark where one is alone
+    return [str(x).encode("utf-16-le", "surrogatepass").decode("utf-16-le", "replace") for x in value if x is not None]
+
+
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def _parsed_list(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore", SyntaxWarning)  # of escapes that mean nothing
+        for batch in batches:
+            yield pa.array([None if x is None else _entries(x) for x in batch.to_pylist()], pa.list_(pa.string()))
+
+
 def parse_list_column(c: Column | str) -> Column:
-    """A list literal (either quote style, list or tuple) to array<string>; else empty.
+    """A list or tuple literal, or a JSON list, to array<string>; anything else is an empty array.
 
-    A comma after the last entry and ``\\xNN`` escapes are read, and ``None`` entries are dropped.
+    ``None`` and null entries are dropped; entries that are no strings have their literal form as text.
     """
     raw = strip(col(c))
-    square = F.when(
-        raw.startswith("(") & raw.endswith(")"),
-        F.concat(F.lit("["), F.substring(raw, F.lit(2), F.length(raw) - 2), F.lit("]")),
-    ).otherwise(raw)
-    square = F.regexp_replace(square, r",\s*\]$", "]")
-    square = F.regexp_replace(square, r"\\x([0-9a-fA-F]{2})", r"\\u00$1")
-    options = {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"}
-    # only a literal that JSON can't read has a bare None
-    nulls = F.regexp_replace(square, r"(?<=[\[,])\s*None\s*(?=[,\]])", "null")
-    parsed = F.coalesce(
-        F.from_json(square, "array<string>", options), F.from_json(nulls, "array<string>", options)
-    )
-    return F.coalesce(F.filter(parsed, lambda x: x.isNotNull()), F.array().cast("array<string>"))
+    listed = raw.startswith("[") | raw.startswith("(")
+    return F.coalesce(_parsed_list(F.when(listed, raw)), F.array().cast("array<string>"))
 
 
 def parse_ts(c: Column | str) -> Column:

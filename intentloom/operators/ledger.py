@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -82,6 +82,26 @@ def ledger_union(*records: DataFrame) -> DataFrame:
     return out
 
 
+def stage_times(records: DataFrame, stages: Sequence[str], logged_at: datetime) -> DataFrame:
+    """One row per user of the timing ledger: milliseconds of each stage as text, their sum and the time of logging.
+
+    ``records``: user_id, stage, seconds, error; a stage may have several, which add up. A stage that failed,
+    was not reached or has no finite time is ``-``; ``total_ms`` sums the others. Rows without a user are one user's.
+    """
+    known = F.when(F.col("error").isNull() & ~F.isnan("seconds"), F.col("seconds") * 1000)
+
+    def at(stage: str) -> Column:
+        here = F.col("stage") == stage
+        bad = F.count_if(here & known.isNull()) + F.when(F.count_if(here) == 0, 1).otherwise(0)
+        return F.when(bad == 0, F.sum(F.when(here, known)))
+
+    ms = records.groupBy("user_id").agg(*[at(s).alias(s) for s in stages])
+    total = sum((F.coalesce(s, F.lit(0.0)) for s in stages), F.lit(0.0))
+    moment = F.lit(logged_at.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+    shown = [F.coalesce(F.round(s).cast("bigint").cast("string"), F.lit("-")).alias(s) for s in stages]
+    return ms.select("user_id", *shown, F.round(total).cast("bigint").alias("total_ms"), moment.alias("logged_at"))
+
+
 def slow_calls(calls: DataFrame, limit_s: float = SLOW_CALL_S) -> DataFrame:
     return calls.where((F.col("latency_s") > limit_s) & ~F.isnan("latency_s"))
 

@@ -43,11 +43,12 @@ _CALL = (
     .add("output_tokens", T.LongType())
     .add("latency_s", T.DoubleType())
 )
+CALLS = T.ArrayType(_CALL)
 _GENERATED = (
     T.StructType()
     .add("raw", T.StringType())
     .add("error", T.StringType())
-    .add("calls", T.ArrayType(_CALL))
+    .add("calls", CALLS)
 )
 _ARROW_GENERATED = to_arrow_type(_GENERATED)
 _VECTOR = T.ArrayType(T.FloatType())

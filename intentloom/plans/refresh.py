@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
+from intentloom.operators.answer_store import AnswerStore, stored_answers
 from intentloom.operators.answers import parse_queries, resolve_answers
 from intentloom.operators.bundle import build_bundle, bundle_metadata
 from intentloom.operators.context import render_prompts, user_features
@@ -46,8 +47,10 @@ def refresh_all(
     embedder: Factory,
     params: JobParams,
     templates: Mapping[str, str] = TEMPLATES,
+    answers: AnswerStore | None = None,
 ) -> Refreshed:
-    """``catalog`` is :func:`item_catalog`'s output; ``templates`` maps names to texts."""
+    """``catalog`` is :func:`item_catalog`'s output; ``templates`` maps names to texts. With ``answers``, the model is
+    called only for prompts that the store lacks, and answers are stored before they are embedded."""
     require_columns(users, schemas.USERS, "users")
     require_columns(events, schemas.EVENTS, "events")
     require_columns(last20, schemas.LAST20, "last20")
@@ -57,7 +60,11 @@ def refresh_all(
     # Metadata joins here, where all sides lie by user already. Everything after the
     # model stage is then a projection, and vectors are never shuffled.
     kept = bundle_metadata(prompts, events, params).select("user_id", "metadata", "prompt", "error")
-    answered = generate_answers(kept, generator, params).drop("prompt")
+    if answers is None:
+        answered = generate_answers(kept, generator, params).drop("prompt")
+    else:
+        keyed = kept.withColumn("_template", F.col("metadata.template"))
+        answered = stored_answers(keyed, generator, params, answers, template="_template").drop("prompt", "reused", "_template")
     resolved = resolve_answers(answered, text="raw").drop("raw")
     parsed = (
         parse_queries(resolved, params.answer_field)
@@ -137,6 +144,7 @@ def refresh_selected(
     embedder: Factory,
     params: JobParams,
     templates: Mapping[str, str] = TEMPLATES,
+    answers: AnswerStore | None = None,
 ) -> Refreshed:
     """The same job for the asked-for users; unknown ones end as failed rows.
 
@@ -149,7 +157,7 @@ def refresh_selected(
         return df.join(ids, "user_id", "left_semi")
 
     done = refresh_all(
-        only(users), only(events), catalog, only(last20), generator, embedder, params, templates
+        only(users), only(events), catalog, only(last20), generator, embedder, params, templates, answers
     )
     unknown = missing_users(ids, users)
     return Refreshed(

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from datetime import datetime
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from intentloom.operators.ledger import run_report
+from intentloom.sources import schemas
 
 
 def validated(rows: DataFrame, schema: T.StructType, required: tuple[str, ...]) -> DataFrame:
@@ -45,9 +48,18 @@ def append_validated(
     checked.drop("reject_reason").write.mode("append").parquet(path)
 
 
-def append_ledger(records: DataFrame, path: str) -> None:
-    """Adds files only; earlier records are not read or rewritten."""
-    records.write.mode("append").parquet(path)
+def append_ledger(records: DataFrame, path: str, logged_at: datetime | None = None) -> None:
+    """Adds files only; earlier records are not read or rewritten. All records of a call have one time, ``logged_at``."""
+    ledger_records(records, logged_at).write.mode("append").parquet(path)
+
+
+def ledger_records(records: DataFrame, logged_at: datetime | None) -> DataFrame:
+    """Records in the ledger's columns and types; what a record lacks is null."""
+    moment = None if logged_at is None else logged_at.strftime("%Y-%m-%d %H:%M:%S.%f")
+    dated = records if moment is None else records.withColumn("logged_at", F.lit(moment).cast("timestamp_ntz"))
+    return dated.select(
+        *[(F.col(f.name) if f.name in dated.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schemas.LEDGER.fields]
+    )
 
 
 def write_bundles(
@@ -64,7 +76,41 @@ def write_bundles(
     placed.write.mode("overwrite").partitionBy("bucket").options(**options).format(fmt).save(path)
 
 
-def bucket_of(key: str, buckets: int) -> Column:
+def write_interactions(interactions: DataFrame, path: str, buckets: int = 256, tasks: int | None = None) -> None:
+    """One JSON line for each interaction (user_id, record), under the buckets of :func:`write_bundles`.
+
+    Rows are dealt to tasks by ranges of (bucket, user, time) and streamed to files in that order, so no
+    user is gathered, and one with a large share of all interactions has several files one after the other.
+    Within a bucket, files in name order hold each user's records together, oldest first.
+    """
+    by = ["bucket", "user_id", "ts", "tie"]
+    rows = interactions.select(
+        "user_id", "record", bucket_of("user_id", buckets).alias("bucket"), F.col("record.ts").alias("ts"), F.xxhash64("record").alias("tie")
+    )
+    dealt = rows.repartitionByRange(*by) if tasks is None else rows.repartitionByRange(tasks, *by)
+    sorted_rows = dealt.sortWithinPartitions(*by).select("user_id", "record", "bucket")
+    sorted_rows.write.mode("overwrite").partitionBy("bucket").option("ignoreNullFields", "false").json(path)
+
+
+def read_interactions(spark: SparkSession, path: str, record: T.DataType, buckets: int = 256, user_id: str | None = None) -> DataFrame:
+    """(user_id, record) as written; for one user only that user's bucket is read."""
+    schema = T.StructType([T.StructField("user_id", T.StringType()), T.StructField("record", record), T.StructField("bucket", T.IntegerType())])
+    rows = spark.read.schema(schema).json(path)
+    if user_id is not None:
+        here = spark.range(1).select(bucket_of(F.lit(user_id), buckets)).first()[0]
+        rows = rows.where((F.col("bucket") == here) & (F.col("user_id") == user_id))
+    return rows.select("user_id", "record")
+
+
+def write_refreshed(done, path: str, logged_at: datetime, buckets: int = 256) -> None:
+    """All tables of a refresh: bundles, every user's interactions, statuses, and the ledger, which is added to."""
+    write_bundles(done.bundles, f"{path}/bundles", buckets)
+    write_interactions(done.interactions, f"{path}/interactions", buckets)
+    done.statuses.write.mode("overwrite").parquet(f"{path}/statuses")
+    append_ledger(done.ledger, f"{path}/ledger", logged_at)
+
+
+def bucket_of(key: Column | str, buckets: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
