@@ -3,8 +3,13 @@
 The texts are dealt into shards once. Step by step one shard after the other is scanned, round and
 round. Words are counted from the first step; a longer phrase becomes active as soon as both phrases
 that it is made of by leaving out its last and its first word have reached ``min_count`` so far, in
-whatever step that is, and is counted in the steps of one full cycle from there. So all lengths are
-counted side by side, and the scans end when no phrase reached the threshold within the last cycle.
+whatever step that is. So all lengths are counted side by side.
+
+A frequent phrase has its share of the threshold, ``min_count`` by the number of shards, in one shard
+at least. Counts are kept from the first shard on in which a phrase has that much, for one full cycle. As that
+shard is one of the first cycle after activation, a phrase stays active for two cycles less one
+step, and the scans end when no phrase reached the threshold within as many steps. So what is kept
+and merged is about as small as what is frequent, however many rare phrases there are.
 
 A phrase is counted wholly or not at all in a step, and the count of a shard is added once
 whichever step brings it, so a cycle that begins anywhere ends with the exact count. Which phrases
@@ -145,7 +150,7 @@ def _runs(hashes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
 def _counter(filters, words: bool, max_words: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Counts of the active phrases by block: of words in the first cycle, of longer phrases by the filters."""
+    """Counts of the active phrases by block: of words in the first steps, of longer phrases by the filters."""
 
     def active(block: Block) -> Iterator[tuple[int, list[np.ndarray]]]:
         reached, young = filters.value
@@ -231,35 +236,35 @@ def phrase_counts(
             F.pmod(F.monotonically_increasing_id(), F.lit(shards)).alias("shard"),
         ).where("text is not null"), "texts", "shard",
     )
-    counts, step, last = None, 0, 0
-    while step < shards or last >= step - shards:
+    share, horizon = -(-min_count // shards), 2 * shards - 1
+    counts, step, last = None, 0, -1
+    while step < horizon or last >= step - horizon:
         shard = step % shards
         if counts is None:
             filters = [Filter(np.zeros(FILTER_BITS // 64, np.uint64))] * 2
         else:
             parts = counts.where(f"reached is not null and k < {max_words}")
-            filters = _filters(parts, F.lit(True), F.col("reached") >= step - shards)
+            filters = _filters(parts, F.lit(True), F.col("reached") >= step - horizon)
         sent = spark.sparkContext.broadcast(filters)
-        scan = texts.where(F.col("shard") == shard).select("lang", "text").mapInArrow(_counter(sent, step < shards, max_words), _COUNTED)
+        scan = texts.where(F.col("shard") == shard).select("lang", "text").mapInArrow(_counter(sent, step < horizon, max_words), _COUNTED)
         bit = F.lit(1 << shard).cast("long")
-        rows = scan.select("g1", "g2", "k", F.lit(0).cast("long").alias("old"), "n", F.lit(0).cast("long").alias("seen"), F.lit(None).cast("int").alias("reached"))
+        none = F.lit(None).cast("long")
+        rows = scan.select("g1", "g2", "k", none.alias("old"), "n", none.alias("seen"), none.cast("int").alias("reached"))
         if counts is not None:
-            rows = rows.union(counts.select("g1", "g2", "k", F.col("f").alias("old"), F.lit(0).cast("long").alias("n"), "seen", "reached"))
-        rows = rows.groupBy("g1", "g2", "k").agg(*(F.sum(c).alias(c) for c in ("old", "n")), F.max("seen").alias("seen"), F.max("reached").alias("reached"))
-        seen = F.col("seen").bitwiseAND(bit) != 0
+            rows = rows.union(counts.select("g1", "g2", "k", F.col("f").alias("old"), none.alias("n"), "seen", "reached"))
+        rows = rows.groupBy("g1", "g2", "k").agg(*(F.max(c).alias(c) for c in ("old", "seen", "reached")), F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+        # what is not known yet and has less than its share of the threshold in this shard has it in another, or is rare
+        rows = rows.where(F.col("old").isNotNull() | (F.col("n") >= share))
+        old, seen = F.coalesce("old", F.lit(0)), F.coalesce("seen", F.lit(0).cast("long"))
         rows = rows.select(
-            "g1", "g2", "k", (F.col("old") + F.when(seen, 0).otherwise(F.col("n"))).alias("f"),
-            F.when(F.col("n") > 0, F.col("seen").bitwiseOR(bit)).otherwise(F.col("seen")).alias("seen"), "reached",
+            "g1", "g2", "k", (old + F.when(seen.bitwiseAND(bit) != 0, 0).otherwise(F.col("n"))).alias("f"),
+            F.when(F.col("n") > 0, seen.bitwiseOR(bit)).otherwise(seen).alias("seen"), "reached",
         ).withColumn("reached", F.when(F.col("reached").isNull() & (F.col("f") >= min_count), F.lit(step)).otherwise(F.col("reached")))
-        if step == shards - 1:  # the words have completed their cycle
-            rows = rows.where((F.col("k") > 1) | F.col("reached").isNotNull())
         counts = stored(rows, "counts")
         last = counts.where(f"k < {max_words}").agg(F.max("reached")).first()[0]
-        last = -1 if last is None else last
+        last = -horizon - 1 if last is None else last
         sent.unpersist()
         step += 1
-        if last < 0 and step >= shards:
-            break
     found = counts.where("reached is not null").select("g1", "g2", "k", "f")
     sent = spark.sparkContext.broadcast(_filters(found, F.lit(True)))
     named = stored(texts.select("lang", "text").mapInArrow(_namer(sent, max_words), _NAMED), "names")
