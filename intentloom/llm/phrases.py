@@ -16,15 +16,16 @@ whichever step brings it, so a cycle that begins anywhere ends with the exact co
 have reached the threshold is passed to the tasks as a bit filter of fixed size: a phrase that it
 lets through by chance costs rows, and cannot reach the threshold, as no phrase occurs more often
 than its parts. Counts are summed in each task before the shuffle. Phrases are told apart by 128 bits,
-the language among them; their words are fetched by a last scan.
+the language among them; each keeps the place of one occurrence, from which its words are read in the end.
 
 A text that is null or has no words adds nothing. A null language counts as ``und``. Repeated rows
 count each. Documents need no id. An empty table gives no rows. Texts are worked on in blocks of a
-megabyte; memory grows further only with the longest single word.
+few megabytes; memory grows further only with the longest single word.
 """
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -47,14 +48,17 @@ _KIND = np.zeros(256, np.uint8)
 _KIND[[0x20, 0x09]] = 1
 _KIND[[*b".,;:!?", *range(0x0A, 0x0E)]] = 2
 _STEP = np.uint64(kernel.BASES[1])
-_COUNTED = "g1 long, g2 long, k int, n long"
-_NAMED = "g1 long, g2 long, k int, lang string, phrase string, n long"
+_COUNTED = "g1 long, g2 long, k int, n long, doc long, span long"
+BLOCK_BYTES = 4 * kernel.CHUNK_BYTES
 
 
 class Block:
-    """Words of some texts: where they lie, how many words are left in their piece, and whose phrases are counted here."""
+    """Words of some texts: where they lie, how many words are left in their piece, and whose phrases are counted here.
 
-    def __init__(self, data: np.ndarray, at: np.ndarray, own: int, languages: list[np.ndarray]):
+    ``skipped`` bytes of the first text came in blocks before.
+    """
+
+    def __init__(self, data: np.ndarray, at: np.ndarray, own: int, languages: list[np.ndarray], skipped: int = 0):
         kind = _KIND[data]
         inside = np.zeros(len(data) + 2, bool)
         inside[1:-1] = kind == 0
@@ -66,6 +70,7 @@ class Block:
         piece = np.cumsum(kind == 2)[self.start] + self.row
         self.left = np.searchsorted(piece, piece, "right") - np.arange(len(piece))
         self.own = self.start < own
+        self.at, self.skipped = at, skipped
         self.data = kernel.lower(data)
         self.words = [kernel.mix(kernel.span_hashes(kernel.prefix_hashes(self.data, w), self.start, self.end, w)) for w in (0, 1)]
         self.seeds = [x[self.row] for x in languages]
@@ -78,8 +83,10 @@ class Block:
             out.append(x ^ (x >> np.uint64(29)))
         return out
 
-    def phrase(self, i: int, k: int) -> str:
-        return b" ".join(self.data[s:e].tobytes() for s, e in zip(self.start[i : i + k], self.end[i : i + k])).decode()
+    def span(self, i: np.ndarray, k: int) -> np.ndarray:
+        """First byte in the text and length of the phrases of k words at the given words, in one number."""
+        first, last = self.start[i], self.end[i + max(k - 1, 0)]
+        return ((first - self.at[self.row[i]] + self.skipped) << 32) | (last - first)
 
 
 def _skip(data: np.ndarray, at: int, word: bool) -> int:
@@ -98,16 +105,16 @@ def _blocks(batch: pa.RecordBatch, max_words: int) -> Iterator[tuple[int, Block]
     data, at = kernel.bytes_of(names)
     # mixed twice, as a language must not count as the word of the same letters
     languages = [kernel.mix(kernel.mix(kernel.span_hashes(kernel.prefix_hashes(data, w), at[:-1], at[1:], w)) + _STEP) for w in (0, 1)]
-    for row, last, data, at in kernel.chunks(batch.column(1), kernel.CHUNK_BYTES):
+    for row, last, data, at in kernel.chunks(batch.column(1), BLOCK_BYTES):
         mine = [x[row:last] for x in languages]
         pos = 0
-        while len(data) - pos > 2 * kernel.CHUNK_BYTES:
-            own = end = _skip(data, pos + kernel.CHUNK_BYTES, True)
+        while len(data) - pos > 2 * BLOCK_BYTES:
+            own = end = _skip(data, pos + BLOCK_BYTES, True)
             for _ in range(max_words):
                 end = _skip(data, _skip(data, end, False), True)
-            yield row, Block(data[pos:end], np.array([0, end - pos]), own - pos, mine)
+            yield row, Block(data[pos:end], np.array([0, end - pos]), own - pos, mine, pos)
             pos = own
-        yield row, Block(data[pos:], np.minimum(np.maximum(at - pos, 0), len(data) - pos), len(data), mine)
+        yield row, Block(data[pos:], np.maximum(at - pos, 0), len(data), mine, pos)
 
 
 class Filter:
@@ -149,14 +156,20 @@ def _runs(hashes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return order, first, np.diff(np.append(first, len(a)))
 
 
-def _counter(filters, words: bool, max_words: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Counts of the active phrases by block: of words in the first steps, of longer phrases by the filters."""
+def _counter(filters, words: bool, total: bool, max_words: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Counts of the active phrases by block: of words in the first steps, of longer phrases by the filters.
+
+    With ``total``, also the words of each language, as phrases of no words.
+    """
 
-    def active(block: Block) -> Iterator[tuple[int, list[np.ndarray]]]:
+    def active(block: Block) -> Iterator[tuple[int, list[np.ndarray], np.ndarray]]:
         reached, young = filters.value
+        mine = np.flatnonzero(block.own)
+        if total:
+            yield 0, [g[mine] for g in block.seeds], mine
         hashes = block.longer(block.seeds, 1, np.arange(len(block.start)))
         if words:
-            yield 1, [g[block.own] for g in hashes]
+            yield 1, [g[mine] for g in hashes], mine
         alive = np.flatnonzero(reached.has(hashes[0]))
         for k in range(2, max_words + 1):
             known = np.zeros(len(block.start) + 1, bool)
@@ -165,60 +178,23 @@ def _counter(filters, words: bool, max_words: int) -> Callable[[Iterator[pa.Reco
             fresh = young.has(hashes[0][first]) | young.has(hashes[0][first + 1])
             now = block.longer(hashes, k, first)
             wanted = fresh & block.own[first]
-            yield k, [g[wanted] for g in now]
+            yield k, [g[wanted] for g in now], first[wanted]
             for old, new in zip(hashes, now, strict=True):
                 old[first] = new
             alive = first[reached.has(now[0])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, block in _blocks(batch, max_words):
-                for k, hashes in active(block):
+            docs = batch.column(2).to_numpy()
+            for row, block in _blocks(batch, max_words):
+                for k, hashes, places in active(block):
                     order, first, n = _runs(hashes)
                     at = order[first]
+                    words_at = places[at]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(g[at].view(np.int64)) for g in hashes] + [pa.array(np.full(len(at), k, np.int32)), pa.array(n)],
-                        ["g1", "g2", "k", "n"],
-                    )
-
-    return run
-
-
-def _namer(filters, max_words: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The words of phrases that the filter has, each once a task or so, and the words of each language counted (k = 0)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (wanted,) = filters.value
-        known: set[tuple[int, int]] = set()
-        for batch in batches:
-            for row, block in _blocks(batch, max_words):
-                names = pc.fill_null(batch.column(0), "und")
-                out: list[tuple] = []
-                rows, n = np.unique(block.row[block.own], return_counts=True)
-                out += [(0, 0, 0, names[row + r].as_py(), "", m) for r, m in zip(rows.tolist(), n.tolist(), strict=True)]
-                hashes, alive = block.seeds, np.arange(len(block.start))
-                for k in range(1, max_words + 1):
-                    now = block.longer(hashes, k, alive)
-                    hashes = [g.copy() for g in hashes]
-                    for old, new in zip(hashes, now, strict=True):
-                        old[alive] = new
-                    has = wanted.has(now[0])
-                    alive = alive[has]
-                    now = [g[has] for g in now]
-                    order, first, _ = _runs(now)
-                    for at in order[first].tolist():
-                        g, i = (int(now[0][at]), int(now[1][at])), int(alive[at])
-                        if g not in known:
-                            known.add(g)
-                            lang = names[row + int(block.row[i])].as_py()
-                            out.append((*np.array(g, np.uint64).view(np.int64).tolist(), k, lang, block.phrase(i, k), 0))
-                    alive = alive[block.left[alive] > k]
-                if len(known) > 1 << 20:
-                    known.clear()
-                if out:
-                    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.string(), pa.int64()]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], ["g1", "g2", "k", "lang", "phrase", "n"]
+                        [*(pa.array(g[at].view(np.int64)) for g in hashes), pa.array(np.full(len(at), k, np.int32)), pa.array(n),
+                         pa.array(docs[row + block.row[words_at]]), pa.array(block.span(words_at, k))],
+                        ["g1", "g2", "k", "n", "doc", "span"],
                     )
 
     return run
@@ -233,7 +209,7 @@ def phrase_counts(
     texts = stored(
         docs.select(
             F.col(lang_col).alias("lang"), F.col(text_col).alias("text"),
-            F.pmod(F.monotonically_increasing_id(), F.lit(shards)).alias("shard"),
+            F.monotonically_increasing_id().alias("doc"), F.pmod(F.monotonically_increasing_id(), F.lit(shards)).alias("shard"),
         ).where("text is not null"), "texts", "shard",
     )
     share, horizon = -(-min_count // shards), 2 * shards - 1
@@ -243,34 +219,36 @@ def phrase_counts(
         if counts is None:
             filters = [Filter(np.zeros(FILTER_BITS // 64, np.uint64))] * 2
         else:
-            parts = counts.where(f"reached is not null and k < {max_words}")
+            parts = counts.where(f"reached is not null and k between 1 and {max_words - 1}")
             filters = _filters(parts, F.lit(True), F.col("reached") >= step - horizon)
         sent = spark.sparkContext.broadcast(filters)
-        scan = texts.where(F.col("shard") == shard).select("lang", "text").mapInArrow(_counter(sent, step < horizon, max_words), _COUNTED)
+        scan = texts.where(F.col("shard") == shard).select("lang", "text", "doc").mapInArrow(_counter(sent, step < horizon, step < shards, max_words), _COUNTED)
         bit = F.lit(1 << shard).cast("long")
         none = F.lit(None).cast("long")
-        rows = scan.select("g1", "g2", "k", none.alias("old"), "n", none.alias("seen"), none.cast("int").alias("reached"))
+        rows = scan.select("g1", "g2", "k", none.alias("old"), "n", none.alias("seen"), none.cast("int").alias("reached"), "doc", "span")
         if counts is not None:
-            rows = rows.union(counts.select("g1", "g2", "k", F.col("f").alias("old"), none.alias("n"), "seen", "reached"))
-        rows = rows.groupBy("g1", "g2", "k").agg(*(F.max(c).alias(c) for c in ("old", "seen", "reached")), F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+            rows = rows.union(counts.select("g1", "g2", "k", F.col("f").alias("old"), none.alias("n"), "seen", "reached", "doc", "span"))
+        rows = rows.groupBy("g1", "g2", "k").agg(*(F.max(c).alias(c) for c in ("old", "seen", "reached")), F.coalesce(F.sum("n"), F.lit(0)).alias("n"), *(F.first(c).alias(c) for c in ("doc", "span")))
         # what is not known yet and has less than its share of the threshold in this shard has it in another, or is rare
-        rows = rows.where(F.col("old").isNotNull() | (F.col("n") >= share))
+        rows = rows.where(F.col("old").isNotNull() | (F.col("n") >= share) | (F.col("k") == 0))
         old, seen = F.coalesce("old", F.lit(0)), F.coalesce("seen", F.lit(0).cast("long"))
         rows = rows.select(
             "g1", "g2", "k", (old + F.when(seen.bitwiseAND(bit) != 0, 0).otherwise(F.col("n"))).alias("f"),
-            F.when(F.col("n") > 0, seen.bitwiseOR(bit)).otherwise(seen).alias("seen"), "reached",
+            F.when(F.col("n") > 0, seen.bitwiseOR(bit)).otherwise(seen).alias("seen"), "reached", "doc", "span",
         ).withColumn("reached", F.when(F.col("reached").isNull() & (F.col("f") >= min_count), F.lit(step)).otherwise(F.col("reached")))
         counts = stored(rows, "counts")
-        last = counts.where(f"k < {max_words}").agg(F.max("reached")).first()[0]
+        last = counts.where(f"k between 1 and {max_words - 1}").agg(F.max("reached")).first()[0]
         last = -horizon - 1 if last is None else last
         sent.unpersist()
         step += 1
-    found = counts.where("reached is not null").select("g1", "g2", "k", "f")
-    sent = spark.sparkContext.broadcast(_filters(found, F.lit(True)))
-    named = stored(texts.select("lang", "text").mapInArrow(_namer(sent, max_words), _NAMED), "names")
-    total = named.where("k = 0").groupBy("lang").agg(F.sum("n").alias("n"))
-    names = named.where("k > 0").groupBy("g1", "g2", "k").agg(F.min("lang").alias("lang"), F.min("phrase").alias("phrase"))
-    return stored(found.join(names, ["g1", "g2", "k"]).select("lang", "phrase", "k", "f"), "phrases"), total
+    found = counts.where("reached is not null or k = 0").select("doc", "span", "k", "f")
+    here = found.join(texts.select("doc", "lang", "text"), "doc").select(
+        F.coalesce("lang", F.lit("und")).alias("lang"), "k", "f",
+        F.expr("decode(substring(cast(text as binary), cast(span >> 32 as int) + 1, cast(span & 4294967295L as int)), 'UTF-8')").alias("said"),
+    )
+    bare = F.regexp_replace(F.translate("said", string.ascii_uppercase, string.ascii_lowercase), "[\\x20\\x09]+", " ")
+    named = stored(here.select("lang", bare.alias("phrase"), "k", "f"), "phrases")
+    return named.where("k > 0"), named.where("k = 0").select("lang", F.col("f").alias("n"))
 
 
 def collocations(
