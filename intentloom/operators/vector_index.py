@@ -157,8 +157,9 @@ def search(
     first = materialize(near.select(F.col("query_id").alias("owner"), F.col("item_id").cast("long").alias("block")))
     found = materialize(_score_pairs(first, queries, index, k, hidden, queries_per_task))
     floor = _rank(found, k).where(F.col("rank") == k).select("owner", F.col("score").alias("floor"))
-    rest = surviving(queries.join(floor, "owner", "left"), index).join(first, ["owner", "block"], "left_anti")
-    more = _score_pairs(materialize(rest), queries, index, k, hidden, queries_per_task)
+    known = materialize(queries.join(floor, "owner", "left"))
+    rest = surviving(known, index).join(first, ["owner", "block"], "left_anti")
+    more = _score_pairs(materialize(rest), known, index, k, hidden, queries_per_task)
     return _rank(found.unionByName(more), k).withColumnRenamed("owner", "query_id")
 
 
@@ -198,20 +199,34 @@ def surviving(queries: DataFrame, index: VectorIndex, cells: int | None = None)
 
 
 def _score_pairs(pairs: DataFrame, queries: DataFrame, index: VectorIndex, k: int, hidden: DataFrame | None, per_task: int) -> DataFrame:
-    """Best k items of each owner in each of its blocks. The queries of a popular block are dealt to several tasks."""
+    """Best k items of each owner in each of its blocks, but none below its ``floor`` if queries have one.
+
+    The queries of a popular block are dealt to several tasks.
+    """
+    if "floor" not in queries.columns:
+        queries = queries.withColumn("floor", F.lit(None).cast("double"))
     asked = pairs.groupBy("block").count().select("block", F.ceil(F.col("count") / per_task).cast("int").alias("parts"))
     asked = materialize(asked)
     part = F.pmod(F.xxhash64("owner"), F.col("parts")).cast("int").alias("part")
     left = pairs.join(asked, "block").join(queries, "owner").select(
-        "owner", F.lit(None).cast("string").alias("item_id"), F.col("vector").alias("query"), F.lit(1.0).alias("weight"), "block", part
+        "owner", F.lit(None).cast("string").alias("item_id"), F.col("vector").alias("query"), F.lit(1.0).alias("weight"), "floor", "block", part
     )
     if hidden is not None:
         gone = hidden.join(pairs, ["owner", "block"], "left_semi").join(asked, "block")
         left = left.unionByName(gone.select(
-            "owner", "item_id", F.lit(None).cast(queries.schema["vector"].dataType).alias("query"), F.lit(None).cast("double").alias("weight"), "block", part,
+            "owner", "item_id", F.lit(None).cast(queries.schema["vector"].dataType).alias("query"), F.lit(None).cast("double").alias("weight"), F.lit(None).cast("double").alias("floor"), "block", part,
         ))
     right = index.vectors.join(asked, "block").select(
         "item_id", "vector", "block", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
     )
+    score = _scorer(k, index.dim)
+
+    def above(asked: pa.Table, items: pa.Table) -> pa.Table:
+        best = score(asked, items)
+        asked = asked.filter(pc.is_valid(asked["query"]))
+        at = pc.index_in(best["owner"], asked["owner"].combine_chunks())
+        least = pc.fill_null(asked["floor"], -math.inf).take(at)
+        return best.filter(pc.greater_equal(best["score"], pc.subtract(least, SLACK)))
+
     cells = left.groupBy("block", "part").cogroup(right.groupBy("block", "part"))
-    return cells.applyInArrow(_scorer(k, index.dim), "owner string, item_id string, score double")
+    return cells.applyInArrow(above, "owner string, item_id string, score double")
