@@ -285,10 +285,8 @@ def collocations(
 def oracle(min_count: int = MIN_COUNT, max_words: int = MAX_WORDS, top: int = TOP) -> str:
     """DuckDB SQL for the query: every phrase counted outright."""
     return rf"""
-with piece as (select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
--
-]')) as p from documents),
-words as (select lang, list_filter(regexp_split_to_array(p, '[ 	]+'), lambda x: x <> '') as w from piece),
+with piece as (select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as p from documents),
+words as (select lang, list_filter(regexp_split_to_array(p, '[\x20\x09]+'), lambda x: x <> '') as w from piece),
 total as (select lang, cast(sum(len(w)) as bigint) as n from words group by lang),
 starts as (select lang, w, unnest(range(1, len(w) + 1)) as i from words),
 grams as (select lang, w[i : i + k - 1] as g, k from starts, range(1, {max_words + 1}) as r(k) where i + k - 1 <= len(w)),

@@ -319,8 +319,7 @@ runs as (select c, len(w) as n, d, w[1 : d] as p from whole, lateral (select unn
 node as (select p, any_value(d) as d, min(c) as conv_id, count(*) as n_convs, sha256(coalesce(string_agg(cast(c as varchar), ',' order by c) filter (n = d), '')) as ends_sha256 from runs group by p),
 child as (select p[1 : d - 1] as p, count(*) as n_children from node where d > 0 group by 1),
 tree as (select node.*, coalesce(n_children, 0) as n_children,
- case when d > 0 then (n_convs - 1) * len(list_filter(regexp_split_to_array(p[d].t, '[ 	-
-]+'), lambda x: x <> '')) else 0 end as cost
+ case when d > 0 then (n_convs - 1) * len(list_filter(regexp_split_to_array(p[d].t, '[\x20\x09-\x0D]+'), lambda x: x <> '')) else 0 end as cost
  from node left join child using (p)),
 up as (select p, n_children, cost, unnest(range(0, d + 1)) as k from tree),
 sums as (select p[1 : k] as p, sum((n_children = 0)::int) as n_leaves, sum(cost) as saved_tokens from up group by 1)
