@@ -96,29 +96,55 @@ def build_bundle(rows: DataFrame) -> DataFrame:
 
 def bundle_artifacts(bundles: DataFrame) -> DataFrame:
     """Older layout: metadata, five vectors and one query list as separate rows."""
+    done = bundles.where("status = 'Complete'")
+    return done.select("user_id", F.inline(F.array(*_artifacts())))
+
+
+def _part(kind: str, name: Column, text: Column | None, vector: Column | None) -> Column:
+    return F.struct(
+        F.lit(kind).alias("kind"),
+        name.alias("name"),
+        (F.lit(None) if text is None else text).cast("string").alias("text"),
+        (F.lit(None) if vector is None else vector).cast("array<float>").alias("vector"),
+    )
+
 
-    def part(kind: str, name: str, text: Column | None, vector: Column | None) -> Column:
-        return F.struct(
-            F.lit(kind).alias("kind"),
-            F.lit(name).alias("name"),
-            (F.lit(None) if text is None else text).cast("string").alias("text"),
-            (F.lit(None) if vector is None else vector).cast("array<float>").alias("vector"),
-        )
-
-    parts = [
-        part("metadata", METADATA_NAME, F.to_json("metadata"), None),
-        part("queries", QUERIES_NAME, F.to_json("queries"), None),
-        *[part("embedding", n, None, F.col(f"embeddings.{n}")) for n in EMBEDDING_NAMES],
+def _artifacts() -> list[Column]:
+    return [
+        _part("metadata", F.lit(METADATA_NAME), F.to_json("metadata"), None),
+        _part("queries", F.lit(QUERIES_NAME), F.to_json("queries"), None),
+        *[_part("embedding", F.lit(n), None, F.col(f"embeddings.{n}")) for n in EMBEDDING_NAMES],
     ]
-    done = bundles.where("status = 'Complete'")
-    return done.select("user_id", F.inline(F.array(*parts)))
 
 
-def bundle_audit(asked: DataFrame, stored: DataFrame, users: DataFrame) -> DataFrame:
+def stored_parts(bundles: DataFrame) -> DataFrame:
+    """The parts of bundles as :func:`intentloom.sources.stores.read_bundles` finds them, in one pass.
+
+    Every line has a part of kind ``state``: ``stored`` without text, ``failed`` with the bundle's error, or
+    ``corrupt`` with the line itself. Only stored bundles have other parts.
+    """
+    whole = F.col("corrupt").isNull() & (F.col("status") == "Complete")
+    state = F.when(F.col("corrupt").isNotNull(), "corrupt").when(whole, "stored").otherwise("failed")
+    note = _part("state", state, F.coalesce("corrupt", "error"), None)
+    parts = F.when(whole, F.array(note, *_artifacts())).otherwise(F.array(note))
+    return bundles.where("user_id is not null").select("user_id", F.inline(parts))
+
+
+def stored_audit(asked: DataFrame, bundles: DataFrame, users: DataFrame, model_name: str | None = None) -> DataFrame:
+    """:func:`bundle_audit` of written bundles, with ``state`` (stored, failed, corrupt, absent) and ``note``.
+
+    A user with several lines is as good as the best of them.
+    """
+    return bundle_audit(asked, stored_parts(bundles), users, model_name, states=True)
+
+
+def bundle_audit(
+    asked: DataFrame, stored: DataFrame, users: DataFrame, model_name: str | None = None, states: bool = False
+) -> DataFrame:
     """What is stored for each asked-for user: one row per user, always.
 
     Missing texts are empty, missing vectors are empty arrays, missing metadata
-    is rebuilt from the profile. ``report`` lists each expected part with ``/`` or
+    is rebuilt from the profile (with ``model_name``, if given). ``report`` lists each expected part with ``/`` or
     ``x``. Stored parts are folded to one row per user with partial aggregates.
     """
 
@@ -136,8 +162,10 @@ def bundle_audit(asked: DataFrame, stored: DataFrame, users: DataFrame) -> DataF
         present("metadata", METADATA_NAME, "text").alias("metadata_text"),
         present("queries", QUERIES_NAME, "text").alias("queries_text"),
         *[present("embedding", n, "vector").alias(n) for n in EMBEDDING_NAMES],
+        # "stored" comes after "failed" and "corrupt"
+        F.max(F.when(F.col("kind") == "state", F.struct("name", "text"))).alias("state"),
     )
-    profile = users.select("user_id", metadata_fallback().alias("fallback"))
+    profile = users.select("user_id", metadata_fallback(model_name).alias("fallback"))
     joined = (
         asked.select("user_id")
         .join(folded.withColumn("has_user", F.lit(True)), "user_id", "left")
@@ -173,6 +201,7 @@ def bundle_audit(asked: DataFrame, stored: DataFrame, users: DataFrame) -> DataF
         F.coalesce("queries_text", F.lit("")).alias("queries"),
         F.struct(*[F.coalesce(n, empty).alias(n) for n in EMBEDDING_NAMES]).alias("embeddings"),
         report.alias("report"),
+        *([F.coalesce("state.name", F.lit("absent")).alias("state"), F.coalesce("state.text", F.lit("")).alias("note")] if states else []),
     )
 
 
@@ -185,7 +214,7 @@ def queries_audit(asked: DataFrame, stored: DataFrame) -> DataFrame:
     )
 
 
-def metadata_fallback() -> Column:
+def metadata_fallback(model_name: str | None = None) -> Column:
     return F.struct(
         "user_id",
         "current_status",
@@ -193,6 +222,7 @@ def metadata_fallback() -> Column:
         F.concat_ws(" ", "faculty_name", "curriculum_name", "university_name").alias("education_major"),
         or_default("target_roles", "").alias("target_roles"),
         *[F.lit(v).alias(k) for k, v in FALLBACK_METADATA.items()],
+        *([] if model_name is None else [F.lit(model_name).alias("model_name")]),
     )
 
 

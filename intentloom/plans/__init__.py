@@ -6,7 +6,7 @@ from importlib import import_module
 
 _MODULES = (
     "queries_scan", "queries_history", "queries_context",
-    "queries_answers", "queries_vectors", "queries_bundle", "queries_stores",
+    "queries_answers", "queries_vectors", "queries_bundle", "queries_stores", "queries_tables",
 )
 
 

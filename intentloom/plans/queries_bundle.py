@@ -42,7 +42,7 @@ def events_json(spark: SparkSession, sf: str) -> DataFrame:
     "left join last20 on last20.user_id = users.user_id left join records on records.user_id = users.user_id"
 )
 def bundle_metadata(spark: SparkSession, sf: str) -> DataFrame:
-    events, catalog = V.events(spark, sf), V.catalog(spark, sf)
+    events, catalog = V.events(spark, sf), V.catalog(spark, sf, body=False)
     last20 = E.last20_profile(events, catalog)
     features = C.user_features(V.users(spark, sf), events, catalog, last20, PARAMS)
     routed = features.withColumn("template", C.route("n_events", PARAMS.history_threshold))

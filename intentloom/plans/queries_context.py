@@ -179,7 +179,7 @@ _PROMPT_VIEWS = f"{_FEATURE_VIEWS}, {_ROLES}, {_CONTEXT}, {_HISTORY}, {_PROMPTS}
 
 
 def _inputs(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    events, catalog = V.events(spark, sf), V.catalog(spark, sf)
+    events, catalog = V.events(spark, sf), V.catalog(spark, sf, body=False)
     return {
         "users": V.users(spark, sf),
         "events": events,

@@ -77,7 +77,7 @@ def recent_items(spark: SparkSession, sf: str) -> DataFrame:
     + f", {RECENT}, {TITLES} select user_id, recent_titles, n_recent from titles"
 )
 def recent_titles(spark: SparkSession, sf: str) -> DataFrame:
-    return E.recent_titles(V.events(spark, sf), V.catalog(spark, sf), PARAMS.recent_k)
+    return E.recent_titles(V.events(spark, sf), V.catalog(spark, sf, body=False), PARAMS.recent_k)
 
 
 @query(
@@ -168,7 +168,7 @@ LAST20 = """last20 as (
 
 @query(V.with_views("ev", "items", "catalog") + f", {LAST20} select * from last20")
 def last20_profile(spark: SparkSession, sf: str) -> DataFrame:
-    return E.last20_profile(V.events(spark, sf), V.catalog(spark, sf))
+    return E.last20_profile(V.events(spark, sf), V.catalog(spark, sf, body=False))
 
 
 # --- scores and themes ------------------------------------------------------
@@ -224,7 +224,7 @@ def _kinds(spark: SparkSession, sf: str) -> DataFrame:
 
 def _rollup_by_tag(spark: SparkSession, sf: str) -> DataFrame:
     """Themes from item metadata: the first tag of the item."""
-    tags = V.catalog(spark, sf).select("item_id", F.get_json_object("tags", "$[0]").alias("theme"))
+    tags = V.catalog(spark, sf, body=False).select("item_id", F.get_json_object("tags", "$[0]").alias("theme"))
     tagged = _kinds(spark, sf).join(tags, "item_id", "left")
     return T.theme_rollup(tagged, F.col("theme"))
 

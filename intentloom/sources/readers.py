@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from intentloom.functions.text import iso_z
+from intentloom.sources import schemas
 
 
 def read_table(spark: SparkSession, source: str, fmt: str = "parquet") -> DataFrame:
@@ -24,16 +25,22 @@ def scan_events(events: DataFrame, user_id: str | None = None) -> DataFrame:
     return events if user_id is None else events.where(F.col("user_id") == user_id)
 
 
-def first_per_key(df: DataFrame, key: str, *order: str) -> DataFrame:
+def first_per_key(df: DataFrame, key: str, *order: str, ties: tuple[str, ...] = ()) -> DataFrame:
     """One row per key. The limit runs per task before the shuffle, so a key with
-    very many rows sends one row per task. Ties end on all columns' hash."""
+    very many rows sends one row per task. Ties end on the hash of the columns
+    ``ties``, then on that of all others."""
     by = [F.col(c).desc_nulls_last() for c in order]
-    w = W.partitionBy(key).orderBy(*by, F.xxhash64(*df.columns))
+    others = [c for c in df.columns if c not in ties]
+    w = W.partitionBy(key).orderBy(*by, *[F.xxhash64(*cols) for cols in (ties, others) if cols])
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
-def item_catalog(items: DataFrame) -> DataFrame:
-    """Feed posts under their working names; of repeated ids the newest stays."""
+def item_catalog(items: DataFrame, body: bool = True) -> DataFrame:
+    """Feed posts under their working names; of repeated ids the newest stays.
+
+    Without ``body`` there is no feed_text, and the scan leaves the bodies out; all else is the same, as ties
+    end on the short columns first.
+    """
     counts = {
         "views": "num_click",
         "like": "num_like",
@@ -41,14 +48,15 @@ def item_catalog(items: DataFrame) -> DataFrame:
         "share": "num_share",
         "bookmark": "num_bookmark",
     }
-    newest = first_per_key(items, "post_id", "post_created_at")
+    short = [f.name for f in schemas.ITEMS.fields if f.name != "post_content_body"]
+    newest = first_per_key(items if body else items.select(short), "post_id", "post_created_at", ties=tuple(short))
     return newest.select(
         F.col("post_id").alias("item_id"),
         "post_status",
         "is_valid",
         iso_z("post_created_at").alias("created_at"),
         F.col("post_topic").alias("title"),
-        F.col("post_content_body").alias("feed_text"),
+        *([F.col("post_content_body").alias("feed_text")] if body else []),
         F.col("post_tags").alias("tags"),
         "post_target_group",
         "post_category",

@@ -7,14 +7,16 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from intentloom.operators.ledger import run_report
+from intentloom.operators.models import materialize
 from intentloom.sources import schemas
 
 
-def validated(rows: DataFrame, schema: T.StructType, required: tuple[str, ...]) -> DataFrame:
+def validated(rows: DataFrame, schema: T.StructType, required: tuple[str, ...], given: str | None = None) -> DataFrame:
     """Typed columns plus ``reject_reason``: null for a row that may be appended.
 
     ``rows`` holds text columns; a value its column's type cannot read, or a
-    missing required one, rejects the row.
+    missing required one, rejects the row. ``given`` names a further column that
+    holds the whole row as it came, as JSON, where it is rejected.
     """
     missing = [f.name for f in schema.fields if f.name not in rows.columns]
     if missing:
@@ -30,17 +32,21 @@ def validated(rows: DataFrame, schema: T.StructType, required: tuple[str, ...])
         return bad
 
     reasons = F.concat_ws("; ", *[reason(f) for f in schema.fields])
+    as_given = [] if given is None else [
+        F.when(reasons != "", F.to_json(F.struct("*"), {"ignoreNullFields": "false"})).alias(given)
+    ]
     return rows.select(
         *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields],
         F.nullif(reasons, F.lit("")).alias("reject_reason"),
+        *as_given,
     )
 
 
 def append_validated(
     rows: DataFrame, schema: T.StructType, required: tuple[str, ...], path: str
 ) -> None:
-    """Append all rows or none: any rejected row raises, naming a few of them."""
-    checked = validated(rows, schema, required)
+    """Append all rows or none: any rejected row raises, naming a few of them. ``rows`` is evaluated once."""
+    checked = materialize(validated(rows, schema, required))
     rejected = checked.where("reject_reason is not null")
     counts = rejected.agg(F.count("*").alias("n"), F.max("reject_reason").alias("example")).first()
     if counts.n:

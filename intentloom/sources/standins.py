@@ -160,8 +160,8 @@ def items(spark: SparkSession, sf: str) -> DataFrame:
     return part.select(*[F.expr(c) for c in _columns(_ITEMS)], created.alias("post_created_at"))
 
 
-def catalog(spark: SparkSession, sf: str) -> DataFrame:
-    return item_catalog(items(spark, sf))
+def catalog(spark: SparkSession, sf: str, body: bool = True) -> DataFrame:
+    return item_catalog(items(spark, sf), body)
 
 
 def slots(spark: SparkSession, sf: str) -> DataFrame:
