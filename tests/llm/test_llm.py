@@ -129,10 +129,33 @@ def test_line_spread(spark):
     assert got[0].text is None and got[1].text == ""
     assert got[2].text == "own 0 is a longer line of its own"
     assert got[5].text == "own 3 is a longer line of its own\n"
-    assert got[16].text == "same line" and got[16].line_dedup.n_boilerplate == 1 and got[16].line_dedup.n_removed == 0
+    assert got[16].text == "" and got[16].line_dedup.n_boilerplate == 1 and got[16].line_dedup.n_removed == 1
     assert got[2].line == "x" and got[2].rate == 1.0
 
 
+def test_line_spread_against_plain_counts(spark):
+    rng = random.Random(5)
+    lines = [f"line {i}" for i in range(40)] + ["", "  "]
+    rows = []
+    for i in range(400):
+        text = "\n".join(rng.choice(lines[: 5 + i % 37]) for _ in range(rng.randint(1, 8)))
+        rows.append((rng.choice([i, 7, None]), rng.choice([text, text, "a copy\nof two lines", None]), rng.choice([None, *(f"s{k}" for k in range(3 + i % 23))]), i))
+    rows += [(1, "a long text\n" * 3000, "s1", -1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, line int").repartition(5)
+    sites = {}
+    for _, text, site, _ in rows:
+        for line in set((text or "").split("\n")):
+            if line.strip():
+                sites.setdefault(line.strip(), {}).setdefault(text, set()).add(site)
+    spread = {line: {min(s - {None}, default=None) for s in texts.values()} - {None} for line, texts in sites.items()}
+    bad = {line for line, s in spread.items() if len(s) >= 10}
+    want = sorted((n, None if t is None else "\n".join(x for x in t.split("\n") if x.strip() not in bad)) for _, t, _, n in rows)
+    out = line_spread.remove_boilerplate(docs)
+    got = sorted((r.line, r.text) for r in out.collect())
+    assert 2 < len(bad) < 38 and "a copy" not in bad and got == want
+    assert out.columns == [*docs.columns, "line_dedup"]
+
+
 def test_tiling_catches_reordered_passages(spark):
     item = prose(9, 40).split()
     turned = item[20:] + ["between"] + item[:20]
