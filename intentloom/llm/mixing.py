@@ -6,12 +6,13 @@ documents are then fitted so that the expected tokens of each domain, sum of rat
 posterior, meet the targets in least squares. Each projected-gradient step is one distributed
 aggregation: it brings the domain totals and the small matrix that scales the gradient to the
 driver (a number for each pair of domains), and every rate moves along its own posteriors and is
-cut at zero. Rates start at 1, so a document moves only as far as its domains need.
+cut at zero; where cuts spoil the scaled step, a plain gradient step follows, which always lowers the error. Rates start at 1, so a document moves only as far as its domains need.
 
-Null, empty texts: no tokens; their posteriors are the priors of the sample. Rows of one id count as one
-document (repeated rows add their tokens). Without labelled rows every domain is alike. Empty
-tables give no rows. A target domain that no document belongs to can't be met; the rates then
-are the least-squares fit.
+Every row is a document of its own and comes back, with a null or shared id too; rows are told apart by a 128-bit
+hash of id and text, and repeated rows, which are alike in both, get one rate. A label holds for all rows of its id.
+Null, empty texts: no tokens; their posteriors are the priors of the sample. Without labelled rows every domain is
+alike. Empty tables give no rows. Targets beyond what the documents
+can give are approached: the error falls with every one of at most STEPS steps. Of other columns those named like a result (tokens, rate, p_<domain>) give way to it.
 """
 
 from __future__ import annotations
@@ -37,16 +38,20 @@ def domain_of_labels() -> Column:
     return F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "good").when(F.col("quality") == 0, "poor")
 
 
-def _buckets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, bucket) of every word; bucket is null once for a text without words."""
+def row_key(id_col: str, text_col: str) -> Column:
+    return F.struct(F.xxhash64(id_col, text_col).alias("a"), F.xxhash64(F.lit("row"), text_col, id_col).alias("b"))
+
+
+def _buckets(docs: DataFrame, key: str, text_col: str) -> DataFrame:
+    """(key, bucket, first) of every word; a row without words has one null bucket, and each row one ``first``."""
     bare = F.translate(F.lower(F.col(text_col)), "\t\n\x0b\f\r", "     ")
-    words = docs.select(F.col(id_col).alias("doc_id"), F.explode_outer(F.split(bare, " ")).alias("word"))
+    words = docs.select(F.col(key), F.posexplode_outer(F.split(bare, " ")).alias("pos", "word"))
     bucket = F.when(F.col("word") != "", F.pmod(F.xxhash64("word"), F.lit(BUCKETS)))
-    return words.select("doc_id", bucket.alias("bucket"))
+    return words.select(key, bucket.alias("bucket"), (F.coalesce("pos", F.lit(0)) == 0).alias("first"))
 
 
 def posteriors(docs: DataFrame, labels: DataFrame, domains: list[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, tokens, p_<domain>...). ``labels`` has (doc_id, domain)."""
+    """(row, copies, tokens, p_<domain>...) of each distinct row hash. ``labels`` has (doc_id, domain)."""
     first = W.partitionBy("domain")
     sample = (
         labels.select(F.col("doc_id").alias("label_id"), "domain").where(F.col("domain").isin(domains)).distinct()
@@ -55,9 +60,9 @@ def posteriors(docs: DataFrame, labels: DataFrame, domains: list[str], id_col: s
     )
     small = F.broadcast(sample)  # PER_DOMAIN rows for each domain at most
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    known = rows.join(small, F.col("doc_id") == F.col("label_id")).select(F.struct("doc_id", "domain").alias("doc_id"), "text")
-    counts = _buckets(known, "doc_id", "text").where("bucket is not null").groupBy("bucket").agg(
-        *(F.count(F.when(F.col("doc_id.domain") == d, 1)).alias(f"n_{i}") for i, d in enumerate(domains))
+    known = rows.join(small, F.col("doc_id") == F.col("label_id")).select("domain", "text")
+    counts = _buckets(known, "domain", "text").where("bucket is not null").groupBy("bucket").agg(
+        *(F.count(F.when(F.col("domain") == d, 1)).alias(f"n_{i}") for i, d in enumerate(domains))
     )
     counts = stored(counts, "words")
     total = counts.agg(*(F.sum(f"n_{i}").alias(f"n_{i}") for i in range(len(domains)))).first()
@@ -74,16 +79,17 @@ def posteriors(docs: DataFrame, labels: DataFrame, domains: list[str], id_col: s
             for i, size in enumerate(sizes)
         ),
     )
-    words = _buckets(rows, "doc_id", "text")
+    words = _buckets(rows.select(row_key("doc_id", "text").alias("row"), "text"), "row", "text")
     scored = words.join(F.broadcast(weights), F.col("bucket") == F.col("b"), "left")  # BUCKETS rows at most
-    sums = scored.groupBy("doc_id").agg(
-        F.count("bucket").alias("tokens"), *(F.coalesce(F.sum(f"w_{i}"), F.lit(0.0)).alias(f"s_{i}") for i in range(len(domains)))
-    )
+    sums = scored.groupBy("row").agg(
+        F.count_if("first").alias("copies"), F.count("bucket").alias("n"),
+        *(F.coalesce(F.sum(f"w_{i}"), F.lit(0.0)).alias(f"all_{i}") for i in range(len(domains)))
+    ).select("row", "copies", F.expr("n div copies").alias("tokens"), *((F.col(f"all_{i}") / F.col("copies")).alias(f"s_{i}") for i in range(len(domains))))
     logit = [F.col(f"s_{i}") / TEMPERATURE + F.log(F.lit(p)) for i, p in enumerate(prior)]
     top = F.greatest(*logit) if len(logit) > 1 else logit[0]
-    lifted = sums.select("doc_id", "tokens", *(F.exp(x - top).alias(f"e_{i}") for i, x in enumerate(logit)))
+    lifted = sums.select("row", "copies", "tokens", *(F.exp(x - top).alias(f"e_{i}") for i, x in enumerate(logit)))
     norm = sum((F.col(f"e_{i}") for i in range(1, len(domains))), F.col("e_0"))
-    return lifted.select("doc_id", "tokens", *((F.col(f"e_{i}") / norm).alias(f"p_{d}") for i, d in enumerate(domains)))
+    return lifted.select("row", "copies", "tokens", *((F.col(f"e_{i}") / norm).alias(f"p_{d}") for i, d in enumerate(domains)))
 
 
 def _solve(matrix: list[list[float]], right: list[float]) -> list[float]:
@@ -104,16 +110,16 @@ def _solve(matrix: list[list[float]], right: list[float]) -> list[float]:
 
 
 def fit_rates(members: DataFrame, targets: dict[str, float], steps: int = STEPS, tolerance: float = 1e-6) -> DataFrame:
-    """Add ``rate`` to (tokens, p_<domain>...) so that domain totals meet shares of all tokens."""
+    """Add ``rate`` to (copies, tokens, p_<domain>...) so that domain totals meet shares of all tokens."""
     domains = list(targets)
     p = [F.col(f"p_{d}") for d in domains]
     k = len(domains)
-    everything = float(members.agg(F.sum("tokens")).first()[0] or 0)
+    everything = float(members.agg(F.sum(F.expr("tokens * copies"))).first()[0] or 0)
     share = sum(targets.values())
     goal = [everything * targets[d] / share for d in domains]
 
     def totals(rate: Column) -> tuple[list[float], list[list[float]]]:
-        n = F.col("tokens").cast("double")
+        n = F.expr("tokens * copies").cast("double")
         live = F.when(rate > 0, n).otherwise(0.0)
         got = members.agg(
             *(F.sum(rate * n * p[i]) for i in range(k)), *(F.sum(live * p[i] * p[j]) for i in range(k) for j in range(k))
@@ -124,26 +130,36 @@ def fit_rates(members: DataFrame, targets: dict[str, float], steps: int = STEPS,
     rate: Column = F.lit(1.0)
     at, scale = totals(rate)
     error = sum((a - g) ** 2 for a, g in zip(at, goal, strict=True))
+    steepest = sum(scale[i][i] for i in range(k))  # no less than the gradient's Lipschitz constant
     for _ in range(steps):
         if error <= (tolerance * max(1.0, everything)) ** 2:
             break
-        move = _solve(scale, [a - g for a, g in zip(at, goal, strict=True)])
-        size = 1.0
-        while size > 1e-3:
-            along = sum((F.lit(size * move[i]) * p[i] for i in range(1, k)), F.lit(size * move[0]) * p[0])
+        over = [a - g for a, g in zip(at, goal, strict=True)]
+        scaled = _solve(scale, over)
+        for move in (*([x * size for x in scaled] for size in (1.0, 1 / 4, 1 / 16)), [x / steepest for x in over]):
+            along = sum((F.lit(move[i]) * p[i] for i in range(1, k)), F.lit(move[0]) * p[0])
             tried = F.greatest(F.lit(0.0), rate - along)
             new_at, new_scale = totals(tried)
             new_error = sum((a - g) ** 2 for a, g in zip(new_at, goal, strict=True))
             if new_error < error:
                 break
-            size /= 4
         else:
             break
         rate, at, scale, error = tried, new_at, new_scale, new_error
     return members.withColumn("rate", rate)
 
 
-def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, tokens, p_<domain>..., rate). ``labels`` has (doc_id, domain); targets are token shares."""
+def mix(
+    docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, id_col: str = "doc_id", text_col: str = "text", whole: bool = False
+) -> DataFrame:
+    """(doc_id, tokens, p_<domain>..., rate) of every row, or ``whole`` rows with these columns added.
+
+    ``labels`` has (doc_id, domain); targets are token shares.
+    """
     targets = targets or TARGETS
-    return fit_rates(stored(posteriors(docs, labels, list(targets), id_col, text_col), "members"), targets)
+    added = ["tokens", *(f"p_{d}" for d in targets), "rate"]
+    members = fit_rates(stored(posteriors(docs, labels, list(targets), id_col, text_col), "members"), targets)
+    own = [F.col(c) for c in docs.columns if c.lower() not in added] if whole else [F.col(id_col).alias("doc_id")]
+    rows = docs.select(row_key(id_col, text_col).alias("k"), F.struct(*own).alias("d"))
+    found = members.select(F.col("row").alias("k"), F.struct(*added).alias("m"))
+    return rows.join(found, "k").select("d.*", "m.*")

@@ -275,6 +275,41 @@ def test_mixing_meets_targets(spark):
     assert sum(r.rate * r.tokens * r.p_good for r in rows) == pytest.approx(0.4 * total, rel=1e-3)
 
 
+def test_mixing_keeps_every_row(spark):
+    rows = [(None if i % 4 == 0 else i // 2, ["good word " * 9, "poor junk " * 5, None, ""][i % 7 % 4], i, 0.5) for i in range(80)]
+    rows += [(3, "good word", -1, 0.5)] * 20  # repeated rows
+    docs = spark.createDataFrame(rows, "doc_id long, text string, k int, rate double").repartition(7)
+    labels = spark.createDataFrame([(1, "good"), (3, "poor")], "doc_id long, domain string")
+    whole = mixing.mix(docs, labels, {"good": 0.5, "poor": 0.5}, whole=True)
+    assert whole.columns == ["doc_id", "text", "k", "tokens", "p_good", "p_poor", "rate"]
+    got = whole.collect()
+    assert sorted((r.k, r.text or "", r.doc_id or -1) for r in got) == sorted((k, t or "", d or -1) for d, t, k, _ in rows)
+    assert all(r.tokens == len((r.text or "").split()) for r in got)
+    thin = mixing.mix(docs, labels, {"good": 0.5, "poor": 0.5}).collect()
+    assert len(thin) == len(rows) and sum(r.rate * r.tokens for r in thin) == pytest.approx(sum(r.rate * r.tokens for r in got))
+
+
+def test_mixing_against_plain_least_squares(spark):
+    rng = np.random.default_rng(3)
+    p = rng.dirichlet([1, 1, 1], 60)
+    tokens, copies = rng.integers(1, 90, 60), rng.integers(1, 4, 60)
+    members = spark.createDataFrame(
+        [(int(t), int(c), *map(float, x)) for t, c, x in zip(tokens, copies, p)], "tokens long, copies long, p_a double, p_b double, p_c double"
+    )
+    n = (tokens * copies).astype(float)
+    for targets in ({"a": 0.5, "b": 0.3, "c": 0.2}, {"a": 0.98, "b": 0.01, "c": 0.01}):
+        goal = n.sum() * np.array(list(targets.values())) / sum(targets.values())
+        rate, step = np.ones(60), 1 / np.trace((p * n[:, None]).T @ p)
+        for _ in range(mixing.STEPS):  # plain projected gradient, as many steps
+            rate = np.maximum(0, rate - step * p @ ((p * n[:, None]).T @ rate - goal))
+        best = np.linalg.norm((p * n[:, None]).T @ rate - goal)
+        rows = mixing.fit_rates(members, targets).collect()
+        totals = np.array([sum(r.rate * r.tokens * r.copies * r[f"p_{d}"] for r in rows) for d in targets])
+        assert min(r.rate for r in rows) >= 0
+        assert np.linalg.norm(totals - goal) <= best
+        assert targets["a"] > 0.9 or np.linalg.norm(totals - goal) <= 1e-4 * n.sum()  # what can be met is met
+
+
 def test_quotes(spark):
     rows = [
         (1, 0, "user", "First point\nof two lines.\n\nSecond point."), (1, 1, "assistant", "> first  point\n> of two lines.\nI agree."),
