@@ -39,9 +39,9 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing_rates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, tokens, posteriors, rate): how often to take each document so that the mix meets its targets."""
+    """Whole documents with tokens, posteriors and rate: how often to take each so that the mix meets its targets."""
     labels = table(spark, sf_dir, "labels").select("doc_id", mixing.domain_of_labels().alias("domain"))
-    return mixing.mix(docs, labels)
+    return mixing.mix(docs, labels, whole=True)
 
 
 STAGES = [
