@@ -9,8 +9,10 @@ tokens. Three relations between sets keep the work down:
   and positions from which the overlap can't be reached, are skipped;
 * the members of a long list are compared with the leader of their block only. The others'
   answers follow from the leader's: two members of one component need no comparison, and two
-  whose distances to the leader differ by more than the largest distance of a link can't link. What is
-  left is compared one by one, so no link is lost.
+  whose distances to the leader differ by more than the largest distance of a link can't link, nor can
+  two whose sketches (parities of their tokens, of fixed size) differ in too many places;
+* of what is left each set meets its nearest sketch first, then the nearest of each other component,
+  then all, so no link is lost, and a large group of near copies is joined by few comparisons.
 
 Tokens that fill many lists come last in the order of a set, so they are hardly ever listed.
 
@@ -37,6 +39,8 @@ from intentloom.llm.runtime import partitions, stored
 SHORT = 3
 #: The most tokens whose frequency orders them; the others are ordered by hash.
 FREQUENT = 100_000
+#: Parities in the sketch that goes with a set into a long list; of fixed size, whatever the size of the set.
+SKETCH = 1024
 _FLUSH = 4_000_000
 
 
@@ -65,24 +69,25 @@ def _set_rows(k: int):
             keep = count >= max(3, held // FREQUENT)
             n = int(keep.sum())
             return pa.RecordBatch.from_arrays(
-                [pa.nulls(n, pa.int64()), pa.array(count[keep].astype(np.int64)), pa.array(token[keep].view(np.int64)), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())],
-                names=["doc_id", "n", "token", "key", "bits"],
+                [pa.nulls(n, pa.int64()), pa.array(count[keep].astype(np.int64)), pa.array(token[keep].view(np.int64)), *(pa.nulls(n, pa.binary()) for _ in range(3))],
+                names=["doc_id", "n", "token", "key", "bits", "sketch"],
             )
 
         for batch in batches:
-            sizes, keys, bits = np.zeros(batch.num_rows, np.int64), [], []
+            sizes, keys, bits, sketches = np.zeros(batch.num_rows, np.int64), [], [], []
             for row, tokens in _sets(batch.column(1), k):
                 sizes[row] = len(tokens)
                 keys.append(hashlib.blake2b(tokens.tobytes(), digest_size=16).digest() if len(tokens) else None)
                 bits.append(_bitmap(tokens))
+                sketches.append(_parities(tokens, SKETCH) if len(tokens) else None)
                 seen.append(tokens)
                 held += len(tokens)
                 if held >= _FLUSH:
                     yield frequent()
                     seen, held = [], 0
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes), pa.nulls(batch.num_rows, pa.int64()), pa.array(keys, pa.binary()), pa.array(bits, pa.binary())],
-                names=["doc_id", "n", "token", "key", "bits"],
+                [batch.column(0), pa.array(sizes), pa.nulls(batch.num_rows, pa.int64()), pa.array(keys, pa.binary()), pa.array(bits, pa.binary()), pa.array(sketches, pa.binary())],
+                names=["doc_id", "n", "token", "key", "bits", "sketch"],
             )
         if seen:
             yield frequent()
@@ -204,11 +209,11 @@ def _list_rows(threshold: int):
     return run
 
 
-def _rest_rows(threshold: int, most: int | None):
-    """Pairs of a long list that neither their components nor their distances to a leader settle.
+def _rest_rows(threshold: int, nearest: str | None):
+    """Rows (x, y, component of y, apart) of pairs of a long list that their components, distances to a leader and sketches don't settle.
 
-    With ``most``, a set meets one member of each of so many other components: one link joins two
-    components whole, so this leaves few pairs for the pass without it.
+    With ``nearest``, a set meets only the nearest sketch of all other components or of each other one:
+    one link joins two components whole, so this leaves few pairs for the pass without it.
     """
     limit = 1 - threshold / 100 + 1e-9
 
@@ -216,6 +221,8 @@ def _rest_rows(threshold: int, most: int | None):
         for a in _whole_groups(batches):
             found = []
             edge = np.flatnonzero(np.concatenate([[True], a["token"][1:] != a["token"][:-1], [True]]))
+            known_sketch = np.array([x is not None for x in a["sketch"]], bool)
+            sketch = np.frombuffer(b"".join(x or bytes(SKETCH // 8) for x in a["sketch"]), np.uint64).reshape(len(a["token"]), -1)
             for s, e in zip(edge[:-1], edge[1:], strict=True):
                 comp = a["comp"][s:e]
                 names, counts = np.unique(comp, return_counts=True)
@@ -233,21 +240,29 @@ def _rest_rows(threshold: int, most: int | None):
                     known = (a["leader"][j] == a["doc_id"][here]) & (a["dist"][j] >= 0) | (a["leader"][here] == a["doc_id"][j]) & (a["dist"][here] >= 0)
                     j = j[~led & ~known]
                     j = j[_reachable(a, np.minimum(j, here), np.maximum(j, here), threshold)]
-                    if most is not None:
-                        j = j[np.unique(a["comp"][j], return_index=True)[1][:most]]
+                    apart = np.bitwise_count(sketch[j] ^ sketch[here]).sum(axis=1, dtype=np.int64) * (known_sketch[j] & known_sketch[here])
+                    sj = a["size"][j].astype(np.int64)
+                    near = 2 * _need(size[i], sj, threshold) <= size[i] + sj - apart
+                    j, apart = j[near], apart[near]
+                    if nearest and len(j):
+                        at = np.lexsort((apart, a["comp"][j]))
+                        at = at[np.unique(a["comp"][j][at], return_index=True)[1]] if nearest == "each" else [np.argmin(apart)]
+                        j, apart = j[at], apart[at]
                     if len(j):
-                        x = np.full(len(j), a["doc_id"][here])
-                        found.append(np.stack([np.minimum(x, a["doc_id"][j]), np.maximum(x, a["doc_id"][j])]))
+                        found.append(np.stack([np.full(len(j), a["doc_id"][here]), a["doc_id"][j], a["comp"][j], apart]))
             if found:
-                x, y = np.unique(np.concatenate(found, axis=1), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], names=["x", "y"])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in np.concatenate(found, axis=1)], names=["x", "y", "comp", "apart"])
 
     return run
 
 
 def _bitmap(tokens: np.ndarray) -> bytes:
     """Parities of the tokens by hash, in one or two bits a token: half of a bitmap folds onto the other."""
-    bits = np.zeros(max(64, 1 << int(len(tokens)).bit_length()), np.uint8)
+    return _parities(tokens, max(64, 1 << int(len(tokens)).bit_length()))
+
+
+def _parities(tokens: np.ndarray, n: int) -> bytes:
+    bits = np.zeros(n, np.uint8)
     places, counts = np.unique((tokens >> np.uint64(20)) & np.uint64(len(bits) - 1), return_counts=True)
     bits[places] = counts & 1
     return np.packbits(bits, bitorder="little").tobytes()
@@ -315,7 +330,7 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """(doc_id, n_shingles, component_id): groups of documents linked by a Jaccard similarity of ``threshold`` % or more."""
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     spark = docs.sparkSession
-    rows = stored(docs.mapInArrow(_set_rows(k), "doc_id long, n long, token long, key binary, bits binary"), "sets")
+    rows = stored(docs.mapInArrow(_set_rows(k), "doc_id long, n long, token long, key binary, bits binary, sketch binary"), "sets")
     common = (
         rows.where("token is not null").groupBy("token").agg(F.sum("n").alias("n"))
         .orderBy(F.desc("n"), "token").limit(FREQUENT).select("token").toPandas()["token"]
@@ -334,9 +349,11 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     linked = F.expr(f"100L * inter >= {threshold}L * (nx + ny - inter)")
     links = first.where(linked).select("x", "y")
     groups = stored(components(links, "x", "y"), "groups")
-    for most in (1, None):
-        rest = _rest(lists, first, groups, threshold, most, partitions(spark)).distinct().join(first, ["x", "y"], "left_anti")
+    for nearest in ("any", "each", None):
+        rest = _rest(lists, rows, first, groups, threshold, nearest, partitions(spark)).join(first, ["x", "y"], "left_anti")
         pairs = _possible_pairs(rows, rest, threshold)
+        if pairs.isEmpty():
+            continue
         sets = _sets_of(docs, pairs, sets, k)
         more = stored(_compared(sets, pairs), "compared")
         first = first.union(more)
@@ -352,16 +369,27 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
 
 
-def _rest(lists: DataFrame, compared: DataFrame, groups: DataFrame, threshold: int, most: int | None, n: int) -> DataFrame:
+def _rest(lists: DataFrame, rows: DataFrame, compared: DataFrame, groups: DataFrame, threshold: int, nearest: str | None, n: int) -> DataFrame:
+    """Pairs (x, y) still to compare, from the lists whose sets are of several components."""
     long = lists.where("token is not null").select(F.col("x").alias("leader"), F.col("y").alias("doc_id"), "token", "size", "pos")
+    long = (
+        long.join(groups.withColumnRenamed("id", "doc_id"), "doc_id", "left")
+        .withColumn("comp", F.coalesce("component_id", "doc_id")).drop("component_id")
+    )
+    mixed = long.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("token")
     dist = F.expr("1 - inter / (nx + ny - inter)")
     seen = compared.select("x", "y", dist.alias("dist"))
     seen = seen.union(seen.select("y", "x", "dist")).toDF("leader", "doc_id", "dist")
-    return (
-        long.join(seen, ["leader", "doc_id"], "left")
+    one = F.min("key") == F.max("key")  # an id of several texts has no sketch: nothing is ruled out by it
+    sketches = rows.where("key is not null and doc_id is not null").groupBy("doc_id").agg(F.when(one, F.min("sketch")).alias("sketch"))
+    found = (
+        long.join(mixed, "token", "left_semi").join(seen, ["leader", "doc_id"], "left")
         .withColumn("dist", F.when(F.col("leader") == F.col("doc_id"), 0.0).otherwise(F.coalesce("dist", F.lit(-1.0))))
-        .join(groups.withColumnRenamed("id", "doc_id"), "doc_id", "left")
-        .select("token", "leader", "doc_id", "size", "pos", "dist", F.coalesce("component_id", "doc_id").alias("comp"))
+        .join(sketches, "doc_id")
+        .select("token", "leader", "doc_id", "size", "pos", "dist", "comp", "sketch")
         .repartition(n, "token").sortWithinPartitions("token", "size", "doc_id")
-        .mapInArrow(_rest_rows(threshold, most), "x long, y long")
+        .mapInArrow(_rest_rows(threshold, nearest), "x long, y long, comp long, apart long")
     )
+    if nearest:  # one of all lists
+        found = found.groupBy("x", *(["comp"] if nearest == "each" else [])).agg(F.min_by("y", F.struct("apart", "y")).alias("y"))
+    return found.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()

@@ -108,6 +108,51 @@ def test_jaccard_groups(spark, odd):
     assert got == {i: (len(sets[i]), find(i)) for i in range(len(odd))}
 
 
+def plain_groups(texts):
+    sets = []
+    for t in texts:
+        w = WORD.findall((t or "").lower())
+        sets.append({tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set())
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a and 100 * len(a & sets[j]) >= 75 * len(a | sets[j]):
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    return {i: (len(s), find(i)) for i, s in enumerate(sets)}
+
+
+@pytest.mark.parametrize("changes", [(1, 3), (2, 6), (4, 9)])
+def test_jaccard_near_copies(spark, changes):
+    """300 documents, 100 of them near copies of one text: links between the copies are all, some or hardly any."""
+    r = random.Random(changes[0])
+    base = prose(7, 120, 4000).split()
+    texts = [prose(1000 + i, r.randrange(3, 90), 300) for i in range(170)]
+    texts += [f"{prose(2000 + i, 12, 900)} {' '.join(base[:40])}" for i in range(30)]
+    for i in range(100):
+        words = list(base)
+        for k in range(r.randrange(*changes)):
+            words[r.randrange(len(words))] = f"edit{i}x{k}"
+        texts.append(" ".join(words))
+    r.shuffle(texts)
+    got = {d: (n, c) for d, n, c in jaccard_groups(frame(spark, texts).select("doc_id", "text", "line")).collect()}
+    assert got == plain_groups(texts)
+
+
+def test_jaccard_shared_ids(spark):
+    """An id of two texts links by either of them."""
+    a, b = prose(1, 80, 900), prose(2, 80, 900)
+    rows = [(1, a), (1, b), *((10 + i, f"{a} a{i}") for i in range(6)), *((30 + i, f"{b} b{i}") for i in range(6))]
+    got = jaccard_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == len(rows) and {r.component_id for r in got} == {1}
+
+
 def test_jaccard_null_ids(spark):
     text = prose(1, 60)
     rows = [(None, text), (4, text), (3, text + " end"), (None, prose(2, 60)), (None, None), (9, prose(3, 60))]
