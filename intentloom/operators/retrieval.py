@@ -56,16 +56,18 @@ def vector_uniqueness(
 ) -> DataFrame:
     """One row: distinct vectors per distinct text, and whether that is too few.
 
+    A missing text or vector counts as a row, but is none of the distinct ones.
     Texts and vectors are compared through SHA-256 digests of their whole value.
     Each distinct is a partial aggregate of its own; a double count-distinct
     would expand every row twice before the shuffle.
     """
     digests = df.select(
-        F.sha2(F.col(text), 256).alias("t"), V.signature(vector, decimals).alias("v")
+        F.sha2(F.col(text), 256).alias("t"),
+        F.when(F.col(vector).isNotNull(), V.signature(vector, decimals)).alias("v"),
     )
 
     def distinct(column: str, name: str) -> DataFrame:
-        count = digests.select(column).distinct().agg(F.count("*").alias("n"))
+        count = digests.select(column).where(F.col(column).isNotNull()).distinct().agg(F.count("*").alias("n"))
         return count.select(F.lit(name).alias("what"), "n")
 
     counts = (

@@ -55,15 +55,21 @@ def route_template(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     V.with_views("users", "ev")
-    + ", n as (select users.user_id, count(ev.user_id) as n_events from users left join ev "
-    "on ev.user_id = users.user_id and ts >= timestamp '2024-01-31' - interval 3 days "
-    "group by users.user_id) select user_id, n_events, case when n_events >= 5 then 'history' "
-    "when n_events <= 1 then 'starter' else 'mixed' end as template from n"
+    + ", n as (select users.user_id, count(ev.user_id) as n_events, "
+    "count(ev.user_id) filter (where ts >= timestamp '2024-01-31' - interval 3 days) as n_recent "
+    "from users left join ev on ev.user_id = users.user_id group by users.user_id) "
+    "select user_id, n_events, n_recent, case when n_events >= 5 then 'history' "
+    "when n_events <= 1 then 'starter' else 'mixed' end as template, case when n_recent >= 5 then 'history' "
+    "when n_recent <= 1 then 'starter' else 'mixed' end as template_recent from n"
 )
 def route_template_3way(spark: SparkSession, sf: str) -> DataFrame:
-    lately = E.events_in_window(V.events(spark, sf), NOW, 3)
-    counts = E.event_counts(V.users(spark, sf), lately)
-    return counts.withColumn("template", C.route_3way("n_events", PARAMS.legacy_history_threshold))
+    users, events = V.users(spark, sf), V.events(spark, sf)
+    lately = E.event_counts(users, E.events_in_window(events, NOW, 3)).withColumnRenamed("n_events", "n_recent")
+    return (
+        E.event_counts(users, events).join(lately, "user_id")
+        .withColumn("template", C.route_3way("n_events", PARAMS.legacy_history_threshold))
+        .withColumn("template_recent", C.route_3way("n_recent", PARAMS.legacy_history_threshold))
+    )
 
 
 @query(V.with_views("ev") + f", {RECENT} select user_id, item_id, rk from recent")

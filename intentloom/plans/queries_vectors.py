@@ -63,12 +63,12 @@ _UNIT_SQL = (
 
 
 @query(
-    f"with {_RAGGED_SQL}, cut as (select vec_id, vector[1:32] as vector from ragged), {_UNIT_SQL} "
+    f"with {_RAGGED_SQL}, cut as (select vec_id, vector from ragged), {_UNIT_SQL} "
     "select vec_id, round(sqrt(list_sum(list_transform(vector, lambda x: x::double * x::double))), 4) "
     f"as norm, {_checksum_sql('vector')} as checksum from unit"
 )
 def normalize_vectors(spark: SparkSession, sf: str) -> DataFrame:
-    unit = R.normalize_vectors(R.truncate_vectors(_ragged(spark, sf), 32))
+    unit = R.normalize_vectors(_ragged(spark, sf))
     squares = F.aggregate("vector", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double"))
     return unit.select("vec_id", F.round(F.sqrt(squares), 4).alias("norm"), _checksum().alias("checksum"))
 
@@ -80,13 +80,13 @@ def vector_dim_check(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     f"with {_RAGGED_SQL}, pairs as (select text, list_transform(vector, lambda x: round(x::double, 8)) as v "
-    "from documents join ragged on vec_id = doc_id), c as (select count(*) as n_rows, "
+    "from documents full join ragged on vec_id = doc_id), c as (select count(*) as n_rows, "
     "count(distinct text) as n_texts, count(distinct v) as n_vectors from pairs) "
     "select *, n_vectors / n_texts as ratio, n_vectors / n_texts < 0.85 as too_low from c"
 )
 def vector_uniqueness(spark: SparkSession, sf: str) -> DataFrame:
     documents = V.table(spark, sf, "documents").select(F.col("doc_id").alias("vec_id"), "text")
-    return R.vector_uniqueness(documents.join(_ragged(spark, sf), "vec_id"))
+    return R.vector_uniqueness(documents.join(_ragged(spark, sf), "vec_id", "full"))
 
 
 @query(

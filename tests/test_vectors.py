@@ -199,6 +199,12 @@ def test_uniqueness_guard(spark, vectors, texts, ratio, too_low):
     assert row.ratio == ratio and row.too_low is too_low
 
 
+def test_uniqueness_without_text_or_vector(spark):
+    rows = [("a", [1.0]), ("b", [2.0]), ("c", None), (None, [2.0]), (None, None)]
+    row = R.vector_uniqueness(spark.createDataFrame(rows, "text string, vector array<float>")).first()
+    assert (row.n_rows, row.n_texts, row.n_vectors) == (5, 3, 2) and row.too_low
+
+
 def test_fusion_name_is_checked(spark, data):
     slots = user_slots(spark, data[0], np.ones(30))
     with pytest.raises(ValueError):
