@@ -55,22 +55,33 @@ def truncate_vectors(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-_UNIT_SQL = (
-    "unit as (select vec_id, list_transform(vector, lambda x: (x::double / "
-    "case when n = 0 then 1 else n end)::float) as vector from "
-    "(select *, sqrt(list_sum(list_transform(vector, lambda x: x::double * x::double))) as n from cut))"
-)
+def _norm_sql(v: str) -> str:
+    return f"sqrt(list_sum(list_transform({v}, lambda x: x::double * x::double)))"
+
+
+def _unit_sql(v: str) -> str:
+    return f"list_transform({v}, lambda x: (x::double / case when {v}_n = 0 then 1 else {v}_n end)::float) as {v}"
 
 
 @query(
-    f"with {_RAGGED_SQL}, cut as (select vec_id, vector from ragged), {_UNIT_SQL} "
-    "select vec_id, round(sqrt(list_sum(list_transform(vector, lambda x: x::double * x::double))), 4) "
-    f"as norm, {_checksum_sql('vector')} as checksum from unit"
+    f"with {_RAGGED_SQL}, parts as (select vec_id, vector, vector[1:32] as cut from ragged), "
+    f"norms as (select *, {_norm_sql('vector')} as vector_n, {_norm_sql('cut')} as cut_n from parts), "
+    f"unit as (select vec_id, {_unit_sql('vector')}, {_unit_sql('cut')} from norms) "
+    f"select vec_id, round({_norm_sql('vector')}, 4) as norm, {_checksum_sql('vector')} as checksum, "
+    f"round({_norm_sql('cut')}, 4) as cut_norm, {_checksum_sql('cut')} as cut_checksum from unit"
 )
 def normalize_vectors(spark: SparkSession, sf: str) -> DataFrame:
-    unit = R.normalize_vectors(_ragged(spark, sf))
-    squares = F.aggregate("vector", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double"))
-    return unit.select("vec_id", F.round(F.sqrt(squares), 4).alias("norm"), _checksum().alias("checksum"))
+    """Unit vectors of whole vectors, and of vectors that are cut first."""
+
+    def norm(v: str) -> F.Column:
+        return F.round(F.sqrt(F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double"))), 4)
+
+    both = R.truncate_vectors(_ragged(spark, sf).withColumn("cut", F.col("vector")), 32, "cut")
+    unit = R.normalize_vectors(R.normalize_vectors(both, "cut"))
+    return unit.select(
+        "vec_id", norm("vector").alias("norm"), _checksum().alias("checksum"),
+        norm("cut").alias("cut_norm"), _checksum("cut").alias("cut_checksum"),
+    )
 
 
 @query(f"with {_RAGGED_SQL} select vec_id, len(vector) = {DIM} as dim_ok from ragged")

@@ -48,3 +48,9 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts" in text
     text = plan(spark, "event_counts")
     assert "ReadSchema: struct<user_id:bigint>" in text
+
+
+def test_vectors_are_normalized_whole_and_cut(con):
+    r = con.sql(ORACLES["normalize_vectors"]).df().set_index("vec_id")
+    assert (r.checksum != r.cut_checksum).any() and (r.checksum == r.cut_checksum)[r.index % 10 == 3].all()
+    assert r.norm[r.index % 10 != 7].between(0.999, 1.001).all() and r.cut_norm[r.index % 10 != 7].between(0.999, 1.001).all()
