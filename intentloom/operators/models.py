@@ -7,9 +7,9 @@ built once and used for all batches of that task.
   known, ``input_tokens``, ``output_tokens``, ``latency_s``.
 * embedder: ``Series[str] -> sequence of vectors``.
 
-A batch is an Arrow batch (``spark.sql.execution.arrow.maxRecordsPerBatch`` rows). A
-batch that raises is halved until only the texts that fail alone are left out. Where
-single texts go on failing and so do others spread over the batch, it is an outage: the
+A batch is a part of an Arrow batch: at most ``CALL_TEXTS`` texts of ``CALL_BYTES`` in all, or one
+longer text, so that what a call holds doesn't grow with the Arrow batch. A batch that raises is
+halved until only the texts that fail alone are left out. Where single texts go on failing and so do others spread over the batch, it is an outage: the
 rest has the error ``not_called``, which says that a later pass has to call these rows;
 the generator's own attempts do so while there are any left.
 """
@@ -26,6 +26,7 @@ from typing import Any
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -85,6 +86,32 @@ def _reply_text(told: Any) -> str:
 #: if these fail with it too are the others left uncalled.
 OUTAGE = 8
 NOT_CALLED = "not_called"
+#: The most texts of a call, and the most bytes of them; a longer text is called alone.
+CALL_TEXTS, CALL_BYTES = 1024, 4 << 20
+
+
+def _calls(texts: pa.Array) -> Iterator[pa.Array]:
+    """Consecutive parts of a string column, each small enough for a call."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    start = 0
+    while start < len(texts):
+        before = ends[start - 1] if start else 0
+        stop = int(np.searchsorted(ends, before + CALL_BYTES, "right"))
+        stop = min(max(stop, start + 1), start + CALL_TEXTS)
+        yield texts.slice(start, stop - start)
+        start = stop
+
+
+def _row_parts(lists: pa.Array) -> Iterator[pa.Array]:
+    """Consecutive rows with at most ``CALL_TEXTS`` texts, or one row with more."""
+    ends = np.cumsum(sizes_of(lists), dtype=np.int64)
+    start = 0
+    while start < len(lists):
+        before = ends[start - 1] if start else 0
+        stop = int(np.searchsorted(ends, before + CALL_TEXTS, "right"))
+        stop = min(max(stop, start + 1), start + CALL_TEXTS)
+        yield lists.slice(start, stop - start)
+        start = stop
 
 
 def _each(call: Callable[[list[str]], list], texts: list[str], uncalled: set[int] | None = None) -> list[tuple[Any, str | None]]:
@@ -157,8 +184,7 @@ def generate(prompt: Column | str, factory: Factory, retry_limit: int) -> Column
     @F.arrow_udf(_GENERATED)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         call = factory()
-        for batch in batches:
-            prompts = batch.to_pylist()
+        for prompts in (part.to_pylist() for batch in batches for part in _calls(batch)):
             rows: list[dict] = [{"raw": None, "error": None, "calls": []} for _ in prompts]
             todo = [i for i, p in enumerate(prompts) if p is not None]
             for attempt in range(1, retry_limit + 2):
@@ -208,6 +234,13 @@ def generate_answers(prompts: DataFrame, factory: Factory, params: JobParams) ->
     )
 
 
+def _vectors_of(call: Callable[[pd.Series], Any], texts: pa.Array, dim: int) -> tuple[pa.Array, list[str | None]]:
+    """:func:`_vectors` of a column of any size."""
+    parts = [_vectors(call, part.to_pylist(), dim) for part in _calls(texts)]
+    vectors = pa.concat_arrays([v for v, _ in parts]) if parts else pa.array([], pa.list_(pa.float32()))
+    return vectors, [e for _, errors in parts for e in errors]
+
+
 def _vectors(
     call: Callable[[pd.Series], Any], texts: list[str], dim: int
 ) -> tuple[pa.Array, list[str | None]]:
@@ -239,7 +272,7 @@ def embed(text: Column | str, factory: Factory, dim: int) -> Column:
     @F.arrow_udf(_EMBEDDED_ONE)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         call = factory()
-        for texts in batches:
+        for texts in (part for batch in batches for part in _calls(batch)):
             vectors, errors = _vectors(call, texts.to_pylist(), dim)
             yield pa.StructArray.from_arrays([vectors, pa.array(errors, pa.string())], ["vector", "error"])
 
@@ -258,9 +291,9 @@ def embed_lists(texts: Column, factory: Factory, dim: int) -> Column:
     @F.arrow_udf(_EMBEDDED)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         call = factory()
-        for lists in batches:
+        for lists in (part for batch in batches for part in _row_parts(batch)):
             sizes = sizes_of(lists)
-            vectors, errors = _vectors(call, lists.flatten().to_pylist(), dim)
+            vectors, errors = _vectors_of(call, lists.flatten(), dim)
             first = [
                 next((e for e in errors[end - size : end] if e is not None), None)
                 for size, end in zip(sizes, np.cumsum(sizes), strict=True)

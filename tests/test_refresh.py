@@ -252,3 +252,37 @@ def test_an_outage_marks_uncalled_rows():
     _, errors = models._vectors(down, texts, 2)
     assert {t for t, e in zip(texts, errors, strict=True) if e == "RuntimeError: down"} == asked and len(asked) == 16
     assert errors.count("not_called: RuntimeError: down") == 984
+
+
+def test_calls_stay_small_in_large_batches(spark, tmp_path):
+    """However many rows an Arrow batch has, no call gets more than its share of texts or bytes."""
+    from intentloom.operators import models
+
+    log = str(tmp_path / "calls")
+
+    def noting():
+        def call(texts):
+            with open(log, "a") as f:
+                f.write(f"{len(texts)} {sum(map(len, texts))}\n")
+            return [[float(len(t)), 1.0] for t in texts]
+
+        return call
+
+    def answering():
+        def call(prompts):
+            noting()(prompts)
+            return prompts.map(lambda p: '{"queries":[]}')
+
+        return call
+
+    rows = spark.range(3000, numPartitions=1)
+    long = F.when(F.col("id") % 1000 == 7, F.repeat(F.lit("x"), 3 << 20)).otherwise(F.col("id").cast("string"))
+    one = models.embed_texts(rows.withColumn("t", long), "t", noting, 2).orderBy("id").collect()
+    assert len(one) == 3000 and all(r.vector and r.embed_error is None for r in one)
+    lists = F.when(F.col("id") % 100 == 0, F.lit(None)).otherwise(F.array_repeat(F.col("id").cast("string"), F.when(F.col("id") == 5, 2500).otherwise(3)))
+    many = rows.select("id", F.size(models.embed_lists(lists, noting, 2)["vectors"]).alias("n")).collect()
+    assert {r.id: r.n for r in many} == {i: None if i % 100 == 0 else 2500 if i == 5 else 3 for i in range(3000)}
+    made = models.generate_answers(rows.select("id", F.col("id").cast("string").alias("prompt")), answering, JobParams()).collect()
+    assert len(made) == 3000 and {r.raw for r in made} == {'{"queries":[]}'}
+    calls = [tuple(map(int, line.split())) for line in open(log)]
+    assert max(n for n, _ in calls) <= 1024 and max(b for _, b in calls) <= 4 << 20
