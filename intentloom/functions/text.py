@@ -5,7 +5,6 @@ from __future__ import annotations
 import ast
 import json
 import warnings
-from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -133,11 +132,11 @@ def _entries(literal: str) -> list[str]:
 
 
 @F.arrow_udf(T.ArrayType(T.StringType()))
-def _parsed_list(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+def _parsed_list(texts: pa.Array) -> pa.Array:
+    # no iterator: Spark then reads all list columns of a row in one Python worker, not in one for each column
     with warnings.catch_warnings():
         warnings.simplefilter("ignore", SyntaxWarning)  # of escapes that mean nothing
-        for batch in batches:
-            yield pa.array([None if x is None else _entries(x) for x in batch.to_pylist()], pa.list_(pa.string()))
+        return pa.array([_entries(x.as_py()) if x.is_valid else None for x in texts], pa.list_(pa.string()))
 
 
 def parse_list_column(c: Column | str) -> Column:

@@ -286,3 +286,12 @@ def test_calls_stay_small_in_large_batches(spark, tmp_path):
     assert len(made) == 3000 and {r.raw for r in made} == {'{"queries":[]}'}
     calls = [tuple(map(int, line.split())) for line in open(log)]
     assert max(n for n, _ in calls) <= 1024 and max(b for _, b in calls) <= 4 << 20
+
+
+def test_list_columns_share_a_worker(spark):
+    row = {c: "['a', None]" for c in ("recent_post_interaction", "recent_tag_interaction", "recent_category_interaction", "recent_keyword_search")}
+    df = spark.createDataFrame([row]).repartition(2)
+    df = df.withColumns({"recent_titles": F.lit("t"), "n_events": F.lit(1), "has_last20": F.lit(True)})
+    text = df.select(C.history_text(F.lit("en"), 3).alias("h"))
+    assert text._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert text.first().h.count("a") >= 4
