@@ -10,8 +10,11 @@ The predictors' counts come from every training text and are kept by full contex
 of 56 bits, so what is gathered grows with the input: texts are dealt into blocks of about ``BLOCK`` bytes, each
 block sends its contexts with its own counts, these are summed by context and sent back to every block that has
 the context, and a block is scored with the counts of its contexts only. No table of all contexts lies in one place.
-Only the mixing weights and the last stage are fitted on a bounded sample: the ``SAMPLE`` training texts
-of the smallest hash.
+Mixing weights and the last stage are fitted on all training texts: a block's texts are read one after the other with
+weights that begin anew in each block, the weights that blocks end with are averaged by bytes, and what each block
+adds to the last stage is summed. A second pass scores every text.
+
+Contexts with the same counts share one row of log-odds, so a block's table has far fewer rows than contexts.
 
 A token score needs the words' counts: words too rare to be among the ``FREQUENT`` most frequent
 are joined, one row for each task and word.
@@ -34,11 +37,11 @@ from intentloom.llm import kernel
 from intentloom.llm.runtime import partitions, stored
 
 #: Predictors, and bytes of text in a block.
-ORDERS, BLOCK = 3, 1 << 22
-SAMPLE, SAMPLE_BYTES = 200, 32_000
+ORDERS, BLOCK = 3, 1 << 24
 FREQUENT = 100_000
-_SAMPLED = -1
 _SLICE = 1 << 12
+#: Places of the last stage: nodes by mixed log-odds.
+LAST = 256 * 33
 #: Where the predictors' log-odds begin in a table without context hashes; 256 places a context.
 _STARTS = np.arange(ORDERS + 1) << 16
 _RUN = 2048
@@ -228,22 +231,28 @@ def log_odds(counts: np.ndarray) -> np.ndarray:
     return out.ravel()
 
 
-def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, tuple[np.ndarray, np.ndarray]]]:
-    """(rows of texts, keys and log-odds of their block), where a block's contexts come before its texts."""
+def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+    """(rows of texts, log-odds, keys and starts of their block), where a block's contexts come before its texts."""
     now, held, table = None, [], None
 
     def made():
         code, n = (np.concatenate(x) for x in zip(*held, strict=True)) if held else (np.zeros(0, np.uint64), np.zeros(0))
         order = np.argsort(code, kind="stable")
         code, n = code[order], n[order]
-        keys, row = np.unique(code >> np.uint64(8), return_inverse=True)
-        odds = np.zeros((len(keys) + 1, 256), np.int8)  # the last is that of contexts never seen
-        for s in range(0, len(keys), _SLICE):
-            a, b = np.searchsorted(row, [s, s + _SLICE])
-            dense = np.zeros((min(_SLICE, len(keys) - s), 256), np.float32)
-            dense[row[a:b] - s, (code[a:b] & np.uint64(255)).astype(np.intp)] = n[a:b]
-            odds[s : s + len(dense)] = log_odds(dense).reshape(-1, 256)
-        return keys, odds.ravel()
+        key = code >> np.uint64(8)
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, int)
+        size = np.diff(np.append(first, len(key)))
+        kind = kernel.mix((code & np.uint64(255)) << np.uint64(48) | n.astype(np.uint64))
+        kind = np.add.reduceat(kind, first) if len(first) else kind
+        _, one, row = np.unique(kind, return_index=True, return_inverse=True)  # equal counts, one row
+        odds = np.zeros((len(one) + 1, 256), np.int8)  # the last is that of contexts never seen
+        for s in range(0, len(one), _SLICE):
+            some = one[s : s + _SLICE]
+            at = np.repeat(first[some] - np.cumsum(size[some]) + size[some], size[some]) + np.arange(size[some].sum())
+            dense = np.zeros((len(some), 256), np.float32)
+            dense[np.repeat(np.arange(len(some)), size[some]), (code[at] & np.uint64(255)).astype(np.intp)] = n[at]
+            odds[s : s + len(some)] = log_odds(dense).reshape(-1, 256)
+        return odds.ravel(), key[first], np.append(row, len(one)) * 256
 
     for batch in batches:
         if not batch.num_rows:
@@ -264,9 +273,9 @@ def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatc
 
 
 class Model:
-    def __init__(self, table: np.ndarray, keys: np.ndarray | None = None):
-        """Log-odds of the contexts of sorted ``keys`` and of one never seen; without keys contexts are dealt over the table."""
-        self.table, self.keys = table, keys
+    def __init__(self, table: np.ndarray, keys: np.ndarray | None = None, starts: np.ndarray | None = None):
+        """Log-odds, and where those of the sorted ``keys`` and of a context never seen start; without keys contexts are dealt over the table."""
+        self.table, self.keys, self.starts = table, keys, starts
         self.weights = np.full((ORDERS, 4, 8), 0.45 / 16, np.float32)  # by predictor, kind of the last byte, bit
         self.last = None  # by node and mixed log-odds: probability of a one
 
@@ -279,10 +288,10 @@ class Model:
         if not len(self.keys):
             return np.zeros(key.shape, np.int64)
         place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where(self.keys[place] == key, place, len(self.keys)) * 256
+        return self.starts[np.where(self.keys[place] == key, place, len(self.keys))]
 
-    def score(self, text: np.ndarray, fit: list | None = None) -> float:
-        """log10 probability of a text with its end. ``fit`` collects (node, bucket, bit) and keeps the weights."""
+    def score(self, text: np.ndarray, fit: tuple[np.ndarray, np.ndarray] | None = None) -> float:
+        """log10 probability of a text with its end. ``fit`` counts bits and ones by node and bucket, and keeps the weights."""
         weights = self.weights if fit is not None else self.weights.copy()
         rows = self.rows(text)
         before = _KIND[np.concatenate([[32], text[:-1]])]
@@ -311,7 +320,9 @@ class Model:
             else:
                 total += float(np.log(p).sum(dtype=np.float64)) / _LN10
             if fit is not None:
-                fit.append((node.ravel(), ((z + 12) * np.float32(32 / 24)).astype(np.int64).ravel(), _BIT[t].ravel()))
+                at = (node * 33 + ((z + 12) * np.float32(32 / 24)).astype(np.int64)).ravel()
+                fit[0][:] += np.bincount(at, minlength=LAST)
+                fit[1][:] += np.bincount(at, _BIT[t].ravel(), LAST)
             if fit is not None or s + _RUN < len(text):
                 miss = (1 - p) * sign
                 gate = np.eye(4, dtype=np.float32)[kind].T * np.float32(_RATE / max(1.0, len(t) / 256))
@@ -319,64 +330,59 @@ class Model:
                     weights[o] += gate @ (miss * x[o])
         return total
 
-    def fit(self, texts: list[np.ndarray]) -> None:
-        seen: list = []
-        for text in texts:
-            self.score(text, seen)
-        if seen:
-            node, bucket, bit = (np.concatenate(z) for z in zip(*seen, strict=True))
-            at = node * 33 + bucket
-            n = np.bincount(at, minlength=256 * 33).astype(np.float32)
-            one = np.bincount(at, bit, 256 * 33).astype(np.float32)
-            middle = 1 / (1 + np.exp(-(np.tile((np.arange(33) + 0.5) * 24 / 32 - 12, 256))))
-            rate = (one + 8 * middle) / (n + 8)
-            self.last = rate.astype(np.float32)
-
 
 def _fit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The weights and the last stage from the sample's texts and contexts."""
-    texts: list[np.ndarray] = []
-    table = None
-    for part, table in _by_block(batches):
-        texts += [text for _, text in _texts(part.column("text"))]
-    if texts:
-        model = Model(table[1], table[0])
-        model.fit(texts)
-        yield pa.RecordBatch.from_arrays([pa.array([model.weights.tobytes()]), pa.array([model.last.tobytes()])], names=["weights", "last"])
+    """(place, a, b) of a task's training texts: bits and ones of the last stage's places, after these the weights times bytes, and bytes."""
+    counts = np.zeros(LAST), np.zeros(LAST)
+    weights, size = np.zeros(ORDERS * 32), 0
+    model, table, read = None, None, 0
+    for part, own in _by_block(batches):
+        if own is not table:
+            if model is not None:
+                weights, size = weights + model.weights.ravel() * float(read), size + read
+            table, model, read = own, Model(*own), 0
+        learn = part.column("learn").to_numpy(zero_copy_only=False)
+        for row, text in _texts(part.column("text")):
+            if learn[row]:
+                model.score(text, counts)
+                read += len(text)
+    if model is not None:
+        weights, size = weights + model.weights.ravel() * float(read), size + read
+    if size:
+        a, b = np.append(counts[0], weights), np.append(counts[1], np.full(len(weights), float(size)))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(a), dtype=np.int32)), pa.array(a), pa.array(b)], names=["place", "a", "b"])
+
+
+def _fitted(blocks: DataFrame) -> tuple[np.ndarray, np.ndarray] | None:
+    """Weights and last stage from all training texts; a row for each place reaches the driver, whatever the input."""
+    sums = blocks.mapInArrow(_fit_rows, "place int, a double, b double").groupBy("place").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    sums = sums.toPandas().sort_values("place")
+    if not len(sums):
+        return None
+    a, b = sums["a"].to_numpy(), sums["b"].to_numpy()
+    middle = 1 / (1 + np.exp(-(np.tile((np.arange(33) + 0.5) * 24 / 32 - 12, 256))))
+    last = (b[:LAST] + 8 * middle) / (a[:LAST] + 8)
+    return (a[LAST:] / b[LAST:]).astype(np.float32).reshape(ORDERS, 4, 8), last.astype(np.float32)
 
 
 def gathered(rows: DataFrame, block_bytes: int = BLOCK) -> tuple[DataFrame, tuple[np.ndarray, np.ndarray] | None]:
     """(texts of each block after the summed counts of its contexts, fitted weights and last stage) of (id, doc_id, learn, text)."""
     columns = "block long, id long, doc_id long, learn boolean, text string"
     texts = stored(rows.select("id", "doc_id", "learn", "text").mapInArrow(_dealt(block_bytes), columns), "blocks")
-    small = texts.where("learn").where(F.octet_length("text") <= SAMPLE_BYTES)
-    ids = small.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE).toPandas()["doc_id"].dropna().tolist()
-    sample = small.where(F.col("doc_id").isin(ids)).orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(SAMPLE)
-    sample = stored(sample.select(F.lit(_SAMPLED).cast("long").alias("block"), "id", "doc_id", F.lit(False).alias("learn"), "text"), "sample")
     counts = "block long, key long, seen binary, n binary"
-    summed = (
-        texts.select("block", "learn", "text").mapInArrow(_block_rows, counts)
-        .union(sample.select("block", "learn", "text").mapInArrow(_block_rows, counts))
-        .repartition(partitions(rows.sparkSession), "key").sortWithinPartitions("key").mapInArrow(_sum_rows, counts)
-    )
-    summed = stored(summed, "contexts")
-
-    def together(some: DataFrame, of: DataFrame, n: int) -> DataFrame:
-        both = some.unionByName(of, allowMissingColumns=True)
-        return both.repartition(n, "block").sortWithinPartitions("block", F.col("key").isNull())
-
-    fitted = together(summed.where(F.col("block") == _SAMPLED), sample, 1).mapInArrow(_fit_rows, "weights binary, last binary").first()
-    if fitted is not None:
-        fitted = np.frombuffer(fitted["weights"], np.float32).reshape(ORDERS, 4, 8), np.frombuffer(fitted["last"], np.float32)
-    return together(summed.where(F.col("block") != _SAMPLED), texts, partitions(rows.sparkSession)), fitted
+    summed = texts.select("block", "learn", "text").mapInArrow(_block_rows, counts)
+    summed = summed.repartition(partitions(rows.sparkSession), "key").sortWithinPartitions("key").mapInArrow(_sum_rows, counts)
+    both = stored(summed, "contexts").unionByName(texts, allowMissingColumns=True)
+    blocks = both.repartition(partitions(rows.sparkSession), "block").sortWithinPartitions("block", F.col("key").isNull(), "id")
+    return blocks, _fitted(blocks)
 
 
 def _score_rows(fitted: tuple[np.ndarray, np.ndarray] | None, frequent: np.ndarray, logs: np.ndarray):
     """Rows with their words, known words and log10 counts of frequent words, and the model's score."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, (keys, table) in _by_block(batches):
-            model = Model(table, keys)
+        for batch, table in _by_block(batches):
+            model = Model(*table)
             if fitted is not None:
                 model.weights, model.last = fitted
             n, size, known, sums, scores = (np.zeros(batch.num_rows, t) for t in (np.int64, np.int64, np.int64, float, float))

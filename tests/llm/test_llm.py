@@ -309,6 +309,33 @@ def test_contexts_keep_counts_of_their_own(spark):
     assert seen == {k: {b: n for b, n in c.items() if n} for k, c in true.items() if c.total()}
 
 
+def test_context_mixing_is_fitted_on_all_training_texts(spark):
+    texts = [*("plain words here " * 3 for _ in range(250)), "é" * 20_000, "ש" * 20_000]
+    rows = frame(spark, texts).select(F.col("doc_id").alias("id"), "doc_id", (F.col("doc_id") < 251).alias("learn"), "text")
+    blocks, (weights, last) = context_mixing.gathered(rows, 4096)
+    read = blocks.mapInArrow(context_mixing._fit_rows, "place int, a double, b double").where(F.col("place") < context_mixing.LAST)
+    assert read.agg(F.sum("a")).first()[0] == 8 * sum(len(t.encode()) + 1 for t in texts[:251])
+    untrained = np.tile(1 / (1 + np.exp(-((np.arange(33) + 0.5) * 24 / 32 - 12))), 256).astype(np.float32).reshape(256, 33)
+    moved = ~np.isclose(last.reshape(256, 33), untrained).all(1)
+    bits = lambda byte: [(1 << j) | (byte >> (8 - j)) for j in range(8)]
+    assert moved[bits("é".encode()[0])].all() and not moved[bits("ש".encode()[0])[4:]].any()
+    assert np.isfinite(weights).all()
+
+
+def test_equal_counts_share_log_odds(spark):
+    rows = frame(spark, ["abcdefgh " * 50, "abcdefgh " * 50, "none like it"]).select(
+        F.col("doc_id").alias("id"), "doc_id", (F.col("doc_id") < 2).alias("learn"), "text")
+    batches = context_mixing.gathered(rows)[0].coalesce(1).sortWithinPartitions("block", F.col("key").isNull(), "id").toArrow().to_batches()
+    for part, (odds, keys, starts) in context_mixing._by_block(batches):
+        assert len(starts) == len(keys) + 1 and not odds[starts[-1] :].any()
+        seen = {r["key"]: r for b in batches for r in b.to_pylist() if r["key"] is not None and r["block"] == part.column("block")[0].as_py()}
+        assert len(odds) == 256 * (1 + len({(r["seen"], r["n"]) for r in seen.values()}))
+        for key, start in zip(keys, starts, strict=False):
+            dense = np.zeros(256, np.float32)
+            dense[list(seen[int(key)]["seen"])] = np.frombuffer(seen[int(key)]["n"], np.float32)
+            assert (odds[start : start + 256] == context_mixing.log_odds(dense)).all()
+
+
 def test_mixing_meets_targets(spark):
     texts = [*("good word here " * 20 for _ in range(30)), *("poor junk stuff " * 10 for _ in range(10)), None, "", "unseen"]
     docs = frame(spark, texts)
