@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from intentloom.llm.runtime import stored
@@ -14,7 +14,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Alternates large-star and small-star: each node hands its smallest neighbour on to the others,
     so long chains halve and hubs never gather their neighbours in one row. Each round is a stored
     table of at most as many rows as there are links; the rounds grow with the logarithm of the
-    longest chain. Only counts and sums reach the driver.
+    longest chain. Only counts and sums reach the driver, taken while a round is written.
     """
     edges = stored(
         links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), "links"
@@ -33,14 +33,27 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             large.join(down, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .union(down.select("u", F.col("m").alias("v"))).distinct()
         )
-        edges = stored(small, "links")
-        now = edges.agg(
-            F.count("*"), F.sum(F.col("u").cast("decimal(38,0)")), F.sum(F.col("v").cast("decimal(38,0)")),
-            F.bit_xor(F.xxhash64("u", "v")),
-        ).first()
+        seen = Observation()
+        edges = stored(
+            small.observe(
+                seen, F.count(F.lit(1)).alias("n"), F.sum(F.col("u").cast("decimal(38,0)")).alias("u"),
+                F.sum(F.col("v").cast("decimal(38,0)")).alias("v"), F.bit_xor(F.xxhash64("u", "v")).alias("x"),
+            ),
+            "links",
+        )
+        now = seen.get
         if now == before:
             break
         before = now
     out = edges.groupBy("u").agg(F.min("v").alias("component_id")).withColumnRenamed("u", "id")
     roots = out.select(F.col("component_id").alias("id"), "component_id").distinct()
     return out.union(roots)
+
+
+def merged(groups: DataFrame, links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """:func:`components` of the links behind ``groups`` and of further ``links``: only the links between groups are walked."""
+    ends = links.select(F.explode(F.array(a, b)).alias("id")).distinct().join(groups, "id", "left_anti")
+    known = stored(groups.select("id", "component_id").union(ends.select("id", F.col("id").alias("component_id"))), "known")
+    between = links.select(F.col(a).alias("a"), F.col(b).alias("b")).join(known.toDF("a", "u"), "a").join(known.toDF("b", "v"), "b")
+    roots = components(between, "u", "v").toDF("component_id", "root")
+    return known.join(roots, "component_id", "left").select("id", F.coalesce("root", "component_id").alias("component_id"))

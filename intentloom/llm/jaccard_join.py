@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from intentloom.llm import kernel
-from intentloom.llm.graph import components
+from intentloom.llm.graph import components, merged
 from intentloom.llm.runtime import partitions, stored
 
 #: Lists of at most so many sets are compared in pairs, longer ones by leaders.
@@ -359,8 +359,7 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         first = first.union(more)
         found = more.where(linked).select("x", "y")
         if not found.isEmpty():
-            links = links.union(found)
-            groups = stored(components(links, "x", "y"), "groups")
+            groups = stored(merged(groups, found, "x", "y"), "groups")
     entries = rows.where("token is null").select("doc_id", "n", "key")
     best = entries.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("id"))
     best = best.join(groups, "id", "left").select("key", F.coalesce("component_id", "id").alias("component_id"))

@@ -270,6 +270,28 @@ def test_main_text(page, text):
     assert html_blocks.main_text(page or "") == text
 
 
+def test_later_links_walk_only_between_groups(spark, monkeypatch):
+    from intentloom.llm import graph
+
+    r = random.Random(3)
+    first = [(r.randrange(300), r.randrange(300)) for _ in range(150)] + [(400 + i, 401 + i) for i in range(40)]
+    later = [(r.randrange(350), r.randrange(350)) for _ in range(60)] + [(7, 7), (410, 430), (299, 420)]
+    kind = "a long, b long"
+    walked = []
+    walk = graph.components
+
+    def noted(links, a="a", b="b"):
+        walked.append(links.select(F.least(a, b), F.greatest(a, b)).where(f"{a} <> {b}").distinct().count())
+        return walk(links, a, b)
+
+    groups = walk(spark.createDataFrame(first, kind))
+    monkeypatch.setattr(graph, "components", noted)
+    got = {x.id: x.component_id for x in graph.merged(groups, spark.createDataFrame(later, kind)).collect()}
+    want = dict(walk(spark.createDataFrame(first + later, kind)).collect())
+    assert {i: c for i, c in got.items() if i in want} == want and set(got) - set(want) <= {7}
+    assert len(walked) == 1 and walked[0] <= len(later)
+
+
 def test_context_mixing(spark, odd):
     docs = frame(spark, odd)
     got = {r.doc_id: r for r in context_mixing.score(docs.union(docs), F.pmod("doc_id", F.lit(3)) != 0).collect()}
