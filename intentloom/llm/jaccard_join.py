@@ -42,6 +42,8 @@ FREQUENT = 100_000
 #: Parities in the sketch that goes with a set into a long list; of fixed size, whatever the size of the set.
 SKETCH = 1024
 _FLUSH = 4_000_000
+#: Pairs of a long list that are looked at in one step.
+_PAIRS = 1 << 18
 
 
 def _sets(column: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -217,54 +219,66 @@ def _rest_rows(threshold: int, nearest: str | None):
     """
     limit = 1 - threshold / 100 + 1e-9
 
+    def open_pairs(a: dict, here: np.ndarray, j: np.ndarray, few: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        keep = (a["comp"][j] != a["comp"][here]) & (~few[j] | (j > here))
+        here, j = here[keep], j[keep]
+        dh, dj = a["dist"][here], a["dist"][j]
+        led = (a["leader"][j] == a["leader"][here]) & (dj >= 0) & (dh >= 0) & (np.abs(dj - dh) > limit)
+        known = (a["leader"][j] == a["doc_id"][here]) & (dj >= 0) | (a["leader"][here] == a["doc_id"][j]) & (dh >= 0)
+        here, j = here[~led & ~known], j[~led & ~known]
+        keep = _reachable(a, np.minimum(j, here), np.maximum(j, here), threshold)
+        return here[keep], j[keep]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a in _whole_groups(batches):
-            found = []
-            edge = np.flatnonzero(np.concatenate([[True], a["token"][1:] != a["token"][:-1], [True]]))
             known_sketch = np.array([x is not None for x in a["sketch"]], bool)
             sketch = np.frombuffer(b"".join(x or bytes(SKETCH // 8) for x in a["sketch"]), np.uint64).reshape(len(a["token"]), -1)
-            for s, e in zip(edge[:-1], edge[1:], strict=True):
-                comp = a["comp"][s:e]
-                names, counts = np.unique(comp, return_counts=True)
-                if len(names) == 1:
-                    continue
-                few = comp != names[np.argmax(counts)]
-                size = a["size"][s:e].astype(np.int64)
-                for i in np.flatnonzero(few):  # pairs within the largest component need no comparison
-                    low = int(np.searchsorted(100 * size, threshold * size[i]))
-                    high = int(np.searchsorted(threshold * size, 100 * size[i], "right"))
-                    j = np.arange(low, high)
-                    j = s + j[(comp[j] != comp[i]) & (~few[j] | (j > i))]
-                    here = s + i
-                    led = (a["leader"][j] == a["leader"][here]) & (a["dist"][j] >= 0) & (a["dist"][here] >= 0) & (np.abs(a["dist"][j] - a["dist"][here]) > limit)
-                    known = (a["leader"][j] == a["doc_id"][here]) & (a["dist"][j] >= 0) | (a["leader"][here] == a["doc_id"][j]) & (a["dist"][here] >= 0)
-                    j = j[~led & ~known]
-                    j = j[_reachable(a, np.minimum(j, here), np.maximum(j, here), threshold)]
-                    apart = np.bitwise_count(sketch[j] ^ sketch[here]).sum(axis=1, dtype=np.int64) * (known_sketch[j] & known_sketch[here])
-                    sj = a["size"][j].astype(np.int64)
-                    near = 2 * _need(size[i], sj, threshold) <= size[i] + sj - apart
-                    j, apart = j[near], apart[near]
-                    if nearest and len(j):
-                        at = np.lexsort((apart, a["comp"][j]))
-                        at = at[np.unique(a["comp"][j][at], return_index=True)[1]] if nearest == "each" else [np.argmin(apart)]
-                        j, apart = j[at], apart[at]
-                    if len(j):
-                        found.append(np.stack([np.full(len(j), a["doc_id"][here]), a["doc_id"][j], a["comp"][j], apart]))
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in np.concatenate(found, axis=1)], names=["x", "y", "comp", "apart"])
+            size, of = a["size"].astype(np.int64), np.cumsum(np.append(0, a["token"][1:] != a["token"][:-1]))
+            few = a["comp"] != _largest(of, a["comp"])[of]
+            i = np.flatnonzero(few)  # pairs within the largest component need no comparison
+            low = np.searchsorted((of << 40) + 100 * size, (of[i] << 40) + threshold * size[i])
+            n = np.searchsorted((of << 40) + threshold * size, (of[i] << 40) + 100 * size[i], "right") - low
+            end = np.cumsum(n)
+            s = 0
+            while s < len(i):
+                e = max(s + 1, int(np.searchsorted(end, end[s] - n[s] + _PAIRS, "right")))
+                here = np.repeat(i[s:e], n[s:e])
+                j = np.arange(len(here)) + np.repeat(low[s:e] - (end[s:e] - n[s:e]) + (end[s] - n[s]), n[s:e])
+                here, j = open_pairs(a, here, j, few)
+                apart = np.bitwise_count(sketch[j] ^ sketch[here]).sum(axis=1, dtype=np.int64) * (known_sketch[j] & known_sketch[here])
+                near = 2 * _need(size[here], size[j], threshold) <= size[here] + size[j] - apart
+                here, j, apart = here[near], j[near], apart[near]
+                if nearest:
+                    comp = a["comp"][j] if nearest == "each" else np.zeros(len(j), np.int64)
+                    at = np.lexsort((j, apart, comp, here))
+                    at = at[np.append(True, (here[at][1:] != here[at][:-1]) | (comp[at][1:] != comp[at][:-1]))[: len(at)]]
+                    here, j, apart = here[at], j[at], apart[at]
+                if len(j):
+                    found = (a["doc_id"][here], a["doc_id"][j], a["comp"][j], apart)
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], names=["x", "y", "comp", "apart"])
+                s = e
 
     return run
 
 
+def _largest(of: np.ndarray, comp: np.ndarray) -> np.ndarray:
+    """The component with most rows of each list, the smallest of equal ones."""
+    order = np.lexsort((comp, of))
+    of, comp = of[order], comp[order]
+    cut = np.flatnonzero(np.append(True, (of[1:] != of[:-1]) | (comp[1:] != comp[:-1])))
+    count = np.diff(np.append(cut, len(of)))
+    best = np.lexsort((comp[cut], -count, of[cut]))
+    return comp[cut][best[np.append(True, np.diff(of[cut][best]) > 0)]]
+
+
 def _bitmap(tokens: np.ndarray) -> bytes:
     """Parities of the tokens by hash, in one or two bits a token: half of a bitmap folds onto the other."""
     return _parities(tokens, max(64, 1 << int(len(tokens)).bit_length()))
 
 
 def _parities(tokens: np.ndarray, n: int) -> bytes:
-    bits = np.zeros(n, np.uint8)
-    places, counts = np.unique((tokens >> np.uint64(20)) & np.uint64(len(bits) - 1), return_counts=True)
-    bits[places] = counts & 1
+    places = ((tokens >> np.uint64(20)) & np.uint64(n - 1)).astype(np.intp)
+    bits = (np.bincount(places, minlength=n) & 1).astype(np.uint8)
     return np.packbits(bits, bitorder="little").tobytes()
 
 

@@ -9,6 +9,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -168,6 +169,48 @@ def test_components(spark):
     assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 130)}}
 
 
+@pytest.mark.parametrize("nearest", ["any", "each", None])
+def test_long_lists_are_compared_in_few_steps(monkeypatch, nearest):
+    from intentloom.llm import jaccard_join
+
+    r = np.random.default_rng(5)
+    rows = []
+    for token in range(6):
+        ids = r.choice(300, 80, replace=False)
+        for i, n in zip(ids, np.sort(r.integers(40, 60, 80)), strict=True):
+            bits = np.zeros(1024, np.uint8)
+            bits[r.integers(0, 1024, r.integers(0, 9))] = 1
+            dist = 0.0 if i == ids[0] else float(r.choice([-1.0, 0.05, 0.4]))
+            rows.append((token, ids[0], i, n, r.integers(0, 9), dist, i if r.random() < 0.6 else 0, None if r.random() < 0.1 else np.packbits(bits).tobytes()))
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.int64(), pa.binary()]
+    names = ["token", "leader", "doc_id", "size", "pos", "dist", "comp", "sketch"]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+    want = set()
+    for k, x in enumerate(rows):
+        most = collections.Counter(z[6] for z in rows if z[0] == x[0])
+        main = min(most, key=lambda c: (-most[c], c))
+        found = []
+        for m, y in enumerate(rows):
+            low, high = (x, y) if k < m else (y, x)
+            need = -(-(75 * (x[3] + y[3])) // 175)
+            seen = x[5] >= 0 and y[1] == x[1] and y[2] == x[1] or y[5] >= 0 and x[2] == y[1]
+            if x[0] != y[0] or x[6] in (main, y[6]) or y[6] != main and m < k or 100 * low[3] < 75 * high[3] or seen:
+                continue
+            if x[5] >= 0 and y[5] >= 0 and abs(x[5] - y[5]) > 0.25 + 1e-9 or 1 + min(x[3] - x[4], y[3] - y[4]) - 1 < need:
+                continue
+            apart = sum(int(p ^ q).bit_count() for p, q in zip(x[7], y[7], strict=True)) if x[7] and y[7] else 0
+            if 2 * need <= x[3] + y[3] - apart:
+                found.append((y[6] if nearest == "each" else 0, apart, m, (x[2], y[2], y[6], apart)))
+        best = {f[0]: f for f in sorted(found, reverse=True)}
+        want |= {(x[0], *f[3]) for f in (best.values() if nearest else found)}
+    calls = []
+    reach = jaccard_join._reachable
+    monkeypatch.setattr(jaccard_join, "_reachable", lambda *z: calls.append(1) or reach(*z))
+    out = [t for x in jaccard_join._rest_rows(75, nearest)(iter([batch.slice(0, 100), batch.slice(100)])) for t in zip(*x.to_pydict().values(), strict=True)]
+    assert sorted(out) == sorted(w[1:] for w in want)
+    assert len(calls) <= 3
+
+
 def test_line_spread(spark):
     texts = [None, "", "same line\nown 0 is a longer line of its own", *(f" same line \nown {i} is a longer line of its own\n" for i in range(1, 14)), "same line"]
     got = {r.doc_id: r for r in line_spread.remove_boilerplate(frame(spark, texts), min_sites=10).collect()}
