@@ -2,40 +2,82 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from intentloom.llm.runtime import stored
 
+#: Links that a task holds at a time.
+_HELD = 1_000_000
+
+
+def _stars(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each end of the links but the smallest of its component among them, and that smallest."""
+    ids, ends = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = ends[: len(u)], ends[len(u) :]
+    root = np.arange(len(ids))
+    while len(a):
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while (root != root[root]).any():
+            root = root[root]
+        a, b = root[a], root[b]
+        a, b = a[a != b], b[a != b]
+    far = np.flatnonzero(root != np.arange(len(ids)))
+    return ids[far], ids[root[far]]
+
+
+def _star_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The links (u, v) of a task, at most ``_HELD`` at a time, as stars around the smallest end of each component among them."""
+    held, n = [], 0
+
+    def done():
+        u, v = _stars(*(np.concatenate(x) for x in zip(*held, strict=True)))
+        return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+
+    for batch in batches:
+        for s in range(0, batch.num_rows, _HELD):
+            part = batch.slice(s, _HELD)
+            if n and n + part.num_rows > _HELD:
+                yield done()
+                held, n = [], 0
+            held.append((part.column(0).to_numpy(), part.column(1).to_numpy()))
+            n += part.num_rows
+    if n:
+        yield done()
+
+
+def _near(links: DataFrame) -> DataFrame:
+    """Links (u, v) made stars where they lie: no row moves, and components stay."""
+    return links.mapInArrow(_star_rows, "u long, v long")
+
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(id, component_id) for every end of a link; component_id is the smallest id reachable.
 
-    Alternates large-star and small-star: each node hands its smallest neighbour on to the others,
-    so long chains halve and hubs never gather their neighbours in one row. Each round is a stored
+    Each round makes stars of the links that a task reads, so a node has one link from a task; then each node
+    hands its smallest neighbour on to the others, and links to a node move on to that node's smallest neighbour,
+    so long chains halve. Rows meet by the larger end, which has one link from each task, and by a join that
+    Spark can split, so hubs never gather their neighbours in one row or window. Each round is a stored
     table of at most as many rows as there are links; the rounds grow with the logarithm of the
     longest chain. Only counts and sums reach the driver, taken while a round is written.
     """
     edges = stored(
-        links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), "links"
+        _near(links.select(F.greatest(a, b).cast("long").alias("u"), F.least(a, b).cast("long").alias("v")).where("u <> v")), "links"
     )
     before = None
     while True:
-        both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = (
-            both.where("v > u").join(least, "u").where("v <> m")
-            .select(F.col("v").alias("u"), F.col("m").alias("v"))
-        )
-        large = large.distinct()
-        down = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (
-            large.join(down, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .union(down.select("u", F.col("m").alias("v"))).distinct()
-        )
+        low = edges.select("u", "v", F.min("v").over(W.partitionBy("u")).alias("m"))
+        small = low.select(F.inline(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v"))))).where("u <> v")
+        up = small.groupBy("u").agg(F.min("v").alias("to")).withColumnRenamed("u", "v")
+        moved = small.join(up, "v", "left").select("u", F.coalesce("to", "v").alias("v"))
         seen = Observation()
         edges = stored(
-            small.observe(
+            _near(moved).observe(
                 seen, F.count(F.lit(1)).alias("n"), F.sum(F.col("u").cast("decimal(38,0)")).alias("u"),
                 F.sum(F.col("v").cast("decimal(38,0)")).alias("v"), F.bit_xor(F.xxhash64("u", "v")).alias("x"),
             ),

@@ -169,6 +169,28 @@ def test_components(spark):
     assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 130)}}
 
 
+def test_components_of_links_in_many_parts(spark):
+    from intentloom.llm import graph
+
+    for parts in (1, 9):
+        r = random.Random(parts)
+        chain = r.sample(range(1000, 1200), 200)
+        links = [(r.randrange(-300, 300), r.randrange(-300, 300)) for _ in range(250)] + list(zip(chain, chain[1:], strict=False))
+        links += [(2000, 2000 + i) for i in range(1, 100)] + [(5, 5)]
+        want = {}
+        for a, b in links:
+            want |= {a: want.get(a, a), b: want.get(b, b)} if a != b else {}
+            low, high = sorted((want.get(a, a), want.get(b, b)))
+            want = {x: low if c == high else c for x, c in want.items()}
+        jobs = spark.sparkContext._jsc.sc().dagScheduler().nextJobId
+        before = jobs()
+        got = dict(components(spark.createDataFrame(links, "a long, b long").repartition(parts)).collect())
+        assert got == want
+        assert jobs() - before <= 30  # 13; 61 and 62 with six shuffles a round
+        far, root = graph._stars(*(np.array(x) for x in zip(*((max(z), min(z)) for z in links if z[0] != z[1]), strict=True)))
+        assert dict(zip(far.tolist(), root.tolist(), strict=True)) == {x: c for x, c in want.items() if x != c}
+
+
 @pytest.mark.parametrize("nearest", ["any", "each", None])
 def test_long_lists_are_compared_in_few_steps(monkeypatch, nearest):
     from intentloom.llm import jaccard_join
