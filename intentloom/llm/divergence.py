@@ -50,7 +50,8 @@ def repeat_words(words: Column) -> Column:
         n = F.size(h) - 2
         bits = F.ceil(F.log2(F.greatest(n, F.lit(1)) + 1)).cast("int")
         windows = F.transform(F.slice(h, 1, F.greatest(n, F.lit(0))), lambda x, i: F.xxhash64(x, F.get(h, i + 1), F.get(h, i + 2)))
-        return _bind(windows, lambda t: positions(t, bits))
+        # most texts repeat no window: only the others are sorted
+        return _bind(windows, lambda t: F.when(F.size(F.array_distinct(t)) == F.size(t), F.array(F.lit(0).cast("long"))).otherwise(positions(t, bits)))
 
     def positions(t: Column, bits: Column) -> Column:
         mask = F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1

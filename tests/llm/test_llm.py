@@ -325,6 +325,16 @@ def test_divergence_counts(spark, odd):
         assert not (r.base_failed and r.kept)
 
 
+def test_only_repeated_windows_are_sorted(spark):
+    """Without a window found twice the count is nought, and the sort stands behind that test in the plan."""
+    words = divergence.words_of(F.col("text"))
+    docs = spark.createDataFrame([(" ".join(f"w{i}" for i in range(300)),), ("a b c a b c",), ("a b",), ("",), ("a a a a",)], "text string")
+    rows = docs.select(divergence.repeat_words(words).alias("n"))
+    assert [x.n for x in rows.collect()] == [0, 6, 0, 0, 4]
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("array_distinct") < plan.index("sort_array")
+
+
 @pytest.mark.parametrize(("page", "text"), [
     (None, ""), ("", ""), ("<p>", ""),
     ("<article><h1>A &amp; B</h1><p>one\n two&nbsp;three<p>x<script>if (a < b) '</p>'</script></article><footer>f</footer>", "A & B\none two three\nx"),
