@@ -433,6 +433,35 @@ def test_equal_counts_share_log_odds(spark):
             assert (odds[start : start + 256] == context_mixing.log_odds(dense)).all()
 
 
+def test_what_blocks_send_grows_with_texts_not_with_copies_of_common_contexts(spark):
+    r = random.Random(6)
+    texts = [f"{prose(500 + i, 200)} {''.join(r.choices('abcdefghijklmnopqrstuvwxyz0123456789', k=600))}" for i in range(240)]
+    rows = frame(spark, texts).select(F.col("doc_id").alias("id"), "doc_id", (F.col("doc_id") % 10 != 0).alias("learn"), "text")
+    blocks, common = context_mixing._blocks(rows, 1 << 15)
+    packed = {x.texts: x for x in blocks.where("block >= 0").groupBy("texts").agg(F.sum(F.length("data")).alias("size"), F.count("*").alias("n")).collect()}
+    plain = context_mixing.gathered(rows, 1 << 15)[0].where("key is not null")
+    each = plain.agg(F.sum(F.length("seen")), F.countDistinct("block"), F.count("*")).first()
+    assert each[1] > 8 and packed[False].n < each[2] // 50
+    assert packed[False].size < (8 * each[2] + 5 * each[0]) / 4  # plain rows have eight bytes for a key, five for a byte and its count
+    assert packed[True].size < sum(map(len, texts)) * 0.8
+    every, _ = common.counts()
+    some = {x.key for x in plain.where("block = 0").collect()}
+    assert len(every) and some & {int(k) for k in every >> np.uint64(8)}
+
+
+def test_packed_and_plain_blocks_have_equal_scores(spark):
+    texts = [prose(700 + i, 150 + i) for i in range(60)] + ["", "none like it", "zq " * 900]
+    rows = frame(spark, texts).select(F.col("doc_id").alias("id"), "doc_id", (F.col("doc_id") % 3 != 0).alias("learn"), "text")
+    blocks, common = context_mixing._blocks(rows, 1 << 13)
+    assert len(common.counts()[0])
+    view, fitted = context_mixing.gathered(rows, 1 << 13)
+    columns = "id long, doc_id long, learn boolean, n long, n_bytes long, known long, logs double, score double"
+    none = np.zeros(0, np.uint64), np.zeros(0)
+    packed = {x.id: x.score for x in blocks.mapInArrow(context_mixing._score_rows(fitted, *none, common), columns).collect()}
+    plain = {x.id: x.score for x in view.mapInArrow(context_mixing._score_rows(fitted, *none), columns).collect()}
+    assert len(plain) == len(texts) and packed == pytest.approx(plain, rel=1e-5)
+
+
 def test_mixing_meets_targets(spark):
     texts = [*("good word here " * 20 for _ in range(30)), *("poor junk stuff " * 10 for _ in range(10)), None, "", "unseen"]
     docs = frame(spark, texts)
