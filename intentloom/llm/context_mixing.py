@@ -12,8 +12,8 @@ block sends its contexts with its own counts, these are summed by context and se
 the context, and a block is scored with the counts of its contexts only. No table of all contexts lies in one place.
 What is sent is packed, a row for each block and range of contexts: codes as differences, compressed, and never more
 rows than contexts. A context that was seen once in all is not sent back to the training text that has it, and those
-that a quarter of the blocks have are sent once to each executor, not with each block; there are at most four times as
-many of them as contexts in a block. Texts are packed too, and blocks of texts and counts are dealt once, for fitting and scoring.
+that half of the blocks have are sent once to each executor, not with each block; there are at most twice as many of
+them as contexts in a block. Texts are packed too, and blocks of texts and counts are dealt once, for fitting and scoring.
 Mixing weights and the last stage are fitted on all training texts: a block's texts are read one after the other with
 weights that begin anew in each block, the weights that blocks end with are averaged by bytes, and what each block
 adds to the last stage is summed. A second pass scores every text.
@@ -47,7 +47,7 @@ ORDERS, BLOCK = 3, 1 << 24
 FREQUENT = 100_000
 _SLICE = 1 << 12
 #: Bytes of packed texts in a row, of texts whose contexts are looked up at once, and of texts whose contexts are summed at once.
-_ROW, _CHUNK, _PART = 1 << 24, 1 << 16, 1 << 23
+_ROW, _CHUNK, _PART = 1 << 20, 1 << 16, 1 << 23
 #: Places of the last stage: nodes by mixed log-odds.
 LAST = 256 * 33
 #: Where the predictors' log-odds begin in a table without context hashes; 256 places a context.
@@ -106,7 +106,7 @@ def _boxed(held: list[pa.RecordBatch]) -> Iterator[bytes]:
     """Packed rows of texts in the order of their ids, about ``_ROW`` bytes in each."""
     table = pa.Table.from_batches(held).combine_chunks()
     table = table.take(pa.array(np.argsort(table.column("id").to_numpy(), kind="stable")))
-    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=9))
+    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=6))
     for batch in table.combine_chunks().to_batches():
         for row, last, _, _ in kernel.chunks(batch.column("text"), _ROW):
             out = pa.BufferOutputStream()
@@ -122,6 +122,12 @@ def _rows(blocks: list[int], texts: bool, parts: list[int], data: list[bytes]) -
     )
 
 
+def _each(batch: pa.RecordBatch) -> Iterator[dict]:
+    """Packed rows, one in Python's memory at a time."""
+    for r in range(batch.num_rows):
+        yield batch.slice(r, 1).to_pylist()[0]
+
+
 def _dealt(most: int):
     """Rows (id, doc_id, learn, text) packed by the block that they fall into."""
 
@@ -233,7 +239,7 @@ def _block_rows(parts: int):
             return _rows([now] * len(data), False, part[cut[:-1]].astype(int).tolist(), data)
 
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _each(batch):
                 if row["block"] != now:
                     if now is not None:
                         yield done()
@@ -294,7 +300,7 @@ def _sum_rows(batches: Iterator[pa.RecordBatch], many: int) -> Iterator[pa.Recor
         return _rows([b for b, _ in found], False, [now] * len(found), [x for _, x in found])
 
     for batch in batches:
-        for row in batch.to_pylist():
+        for row in _each(batch):
             if row["part"] != now:
                 if sent:
                     yield done()
@@ -342,7 +348,7 @@ def _opened(batches: Iterator[pa.RecordBatch], whole: Common | None = None) -> I
         if "key" in batch.schema.names:
             yield batch
             continue
-        for row in batch.to_pylist():
+        for row in _each(batch):
             if row["block"] < 0:
                 continue
             if row["block"] != now:
@@ -405,6 +411,7 @@ class Table(tuple):
                 yield s, at, log_odds(dense)
 
         if lean:
+            n = n.astype(np.float32)
             self = super().__new__(cls, (None, key[first], None))
             paths = np.zeros(len(code), np.uint64)
             for s, at, part in slices(np.arange(len(first))):
@@ -683,7 +690,7 @@ def _blocks(rows: DataFrame, block_bytes: int) -> tuple[DataFrame, Common]:
     texts = stored(rows.mapInArrow(_dealt(block_bytes), _PACKED), "blocks")
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     dealt = texts.select("block").distinct().count()
-    many = max(3, dealt / 4)
+    many = max(3, dealt / 2)
     sent = texts.mapInArrow(_block_rows(max(2 * tasks, size // _PART)), _PACKED)
     summed = sent.repartition(tasks, "part").sortWithinPartitions("part").mapInArrow(lambda batches: _sum_rows(batches, many), _PACKED)
     blocks = summed.unionByName(texts).repartition(max(tasks, 2 * dealt), "block").sortWithinPartitions("block", "texts", "part").persist(StorageLevel.DISK_ONLY)
